@@ -66,16 +66,6 @@ class BKTree:
         return found
 
 
-def _spaced(chunk: Chunk) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The words with one space after each, and where each starts and ends."""
-    lengths = chunk.ends - chunk.starts
-    starts = np.zeros(len(lengths), np.int64)
-    np.cumsum(lengths[:-1] + 1, out=starts[1:])
-    out = np.full(int(lengths.sum()) + len(lengths), 32, np.uint8)
-    out[np.arange(int(lengths.sum())) + np.repeat(np.arange(len(lengths)), lengths)] = chunk.data[chunk.word]
-    return out.tobytes(), starts, starts + lengths
-
-
 def fingerprints_of(chunk: Chunk, shingle: int = SHINGLE) -> np.ndarray:
     """The fingerprint of each document of a lower-cased chunk, as unsigned 64-bit integers."""
     result = np.zeros(len(chunk), np.uint64)
@@ -84,7 +74,7 @@ def fingerprints_of(chunk: Chunk, shingle: int = SHINGLE) -> np.ndarray:
     has = np.flatnonzero(shingles)
     if not len(has):
         return result
-    text, starts, ends = _spaced(chunk)
+    text, starts, ends, _ = chunk.spaced()
     offsets = np.zeros(len(has) + 1, np.int64)
     np.cumsum(shingles[has], out=offsets[1:])
     begin = np.arange(offsets[-1]) - np.repeat(offsets[:-1], shingles[has]) + np.repeat(chunk.first[:-1][has], shingles[has])

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 21
 WORD = r"[^\x20\x09-\x0D]+"
@@ -127,6 +128,20 @@ class Chunk:
         np.cumsum(values, out=total[1:])
         return total[self.at[1:]] - total[self.at[:-1]]
 
+    def spaced(self, keep: np.ndarray | None = None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """The words (those of ``keep``), a space after each; where each starts and ends; the word limits of documents."""
+        lengths, used, first = self.ends - self.starts, self.word, self.first
+        if keep is not None:
+            used = used.copy()
+            used[used] = np.repeat(keep, lengths)
+            lengths = lengths[keep]
+            first = np.concatenate([[0], np.cumsum(keep)])[self.first]
+        starts = np.zeros(len(lengths) + 1, np.int64)
+        np.cumsum(lengths + 1, out=starts[1:])
+        out = np.full(int(starts[-1]), 32, np.uint8)
+        out[np.arange(int(lengths.sum())) + np.repeat(np.arange(len(lengths)), lengths)] = self.data[used]
+        return out.tobytes(), starts[:-1], starts[:-1] + lengths, first
+
     def text(self, doc: int) -> str:
         return self.data[self.at[doc] : self.at[doc + 1]].tobytes().decode("utf-8", "replace")
 
@@ -168,3 +183,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def document_keys(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` as ``(key, doc_id, text)`` with a long key in the order of ids that names one text.
+
+    The key is the id itself where ids are longs, unique and not null.  Otherwise each pair of id and text gets a key, in the
+    order of ids (null first) and then of a hash of the text, so that repeated rows share one.
+    """
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    if docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+        if odd.isEmpty():
+            return docs.select(F.col("doc_id").cast("long").alias("key"), "doc_id", "text")
+    docs = docs.withColumn("mark", F.xxhash64("text"))
+    pairs = docs.select("doc_id", "mark").distinct().repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark")
+    keys = checkpointed(pairs.withColumn("key", F.monotonically_increasing_id()))
+    joined = docs.alias("d").join(keys.alias("k"), F.expr("d.doc_id <=> k.doc_id AND d.mark = k.mark"))
+    return joined.select("k.key", "d.doc_id", "d.text")
