@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Chunk, checkpointed, chunks, document_keys, mix
+from .textkit import Chunk, checkpointed, chunks, document_keys, mix, with_ids
 
 WINDOW = 20
-ANCHOR = 8
+ANCHOR = 6
 HOT = 2048
 SHARD_WORDS = 200_000
 
@@ -230,7 +230,7 @@ def _judged(window: int, shard_words: int):
 
 
 def _cut(window: int):
-    """Rows (key, doc_id, text, hits) to the result: hits are runs with the windows to remove."""
+    """Rows (key, text, hits) to the result: hits are runs with the windows to remove."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,7 +251,7 @@ def _cut(window: int):
                 n_words = np.diff(chunk.first)
                 kept = np.diff(first)
                 digests = [hashlib.sha256(text[starts[a] : ends[b - 1]] if b > a else b"").hexdigest() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.slice(chunk.row, len(chunk)), pa.array(n_words.astype(np.int64)), pa.array((n_words - kept).astype(np.int64)), pa.array(digests, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                yield pa.RecordBatch.from_arrays([ids.slice(chunk.row, len(chunk)), pa.array(n_words.astype(np.int64)), pa.array((n_words - kept).astype(np.int64)), pa.array(digests, pa.string())], ["key", "n_words", "n_removed", "kept_sha256"])
 
     return work
 
@@ -268,14 +268,16 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, h
     several = firsts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
     asked = firsts.join(several, "anchor").select("anchor", "context", F.col("first.key").alias("key"), F.col("first.start").alias("start"), "n", (F.col("contexts") > hot).alias("hot"))
     by_text = asked.groupBy("key").agg(F.collect_list(F.struct("anchor", "context", "start", "n", "hot")).alias("asked"))
-    words = checkpointed(docs.select("key", "text").join(by_text, "key").select("key", "text", "asked").mapInArrow(_words_of(window), "anchor long, context long, key long, start int, hot boolean, symbols array<long>"))
+    # not kept on disk: the exchange of the texts is the one that ``cut`` reads as well
+    words = docs.join(by_text, "key").select("key", "text", "asked").mapInArrow(_words_of(window), "anchor long, context long, key long, start int, hot boolean, symbols array<long>")
     ordinary = words.where("NOT hot").select("anchor", "context", "key", "start", "symbols").repartition("anchor").sortWithinPartitions("anchor", "key", "start")
     masks = ordinary.mapInArrow(_judged(window, shard_words), "anchor long, context long, mask long")
-    single = words.where("hot").select("anchor", "context", "key", "start", F.posexplode("symbols").alias("i", "window"))
-    at = F.struct("key", (F.col("start") + F.col("i")).alias("at"))
-    earliest = single.groupBy("window").agg(F.min(at).alias("earliest"))
-    later = single.join(earliest, "window").where(at != F.col("earliest"))
-    masks = masks.union(later.groupBy("anchor", "context").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")))
+    if not several.where(F.col("contexts") > hot).isEmpty():
+        single = words.where("hot").select("anchor", "context", "key", "start", F.posexplode("symbols").alias("i", "window"))
+        at = F.struct("key", (F.col("start") + F.col("i")).alias("at"))
+        earliest = single.groupBy("window").agg(F.min(at).alias("earliest"))
+        later = single.join(earliest, "window").where(at != F.col("earliest"))
+        masks = masks.union(later.groupBy("anchor", "context").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")))
     known = firsts.select("anchor", "context", "first").join(masks, ["anchor", "context"], "left")
     mask = F.when(F.col("first") == F.struct("key", "start"), F.coalesce("mask", F.lit(0))).otherwise(F.expr("shiftleft(1L, CAST(n AS INT)) - 1"))
     return seen.join(known, ["anchor", "context"]).select("key", "start", mask.alias("mask")).where("mask <> 0")
@@ -288,7 +290,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
     document and get equal results; an id that comes with several texts, or a null id, names several documents, ordered by
     a hash of the text.  Other columns of ``docs`` are not read.  Any window length to 63 more than an anchor's works.
     """
-    keyed = document_keys(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    keyed, ids = document_keys(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     hits = repeated_runs(keyed, window, anchor, hot, shard_words).groupBy("key").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    return keyed.join(hits, "key", "left").select("doc_id", "text", "hits").mapInArrow(_cut(window), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
+    found = keyed.join(hits, "key", "left").select("key", "text", "hits").mapInArrow(_cut(window), "key long, n_words long, n_removed long, kept_sha256 string")
+    return with_ids(found, ids, docs.schema[id_col].dataType.simpleString())

@@ -185,19 +185,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def document_keys(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` as ``(key, doc_id, text)`` with a long key in the order of ids that names one text.
+def document_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs(doc_id, text)`` as ``(key, text)`` with a long key in the order of ids that names one text, and the ids of keys.
 
-    The key is the id itself where ids are longs, unique and not null.  Otherwise each pair of id and text gets a key, in the
-    order of ids (null first) and then of a hash of the text, so that repeated rows share one.
+    The key is the id itself where ids are whole numbers, unique and not null; there is then no table of ids.  Otherwise each
+    pair of id and text gets a key, in the order of ids (null first) and then of a hash of the text, so that repeated rows
+    share one, and ``(key, doc_id)`` comes with it.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     if docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
         odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
         if odd.isEmpty():
-            return docs.select(F.col("doc_id").cast("long").alias("key"), "doc_id", "text")
+            return docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("key"), "text"), None
     docs = docs.withColumn("mark", F.xxhash64("text"))
     pairs = docs.select("doc_id", "mark").distinct().repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark")
     keys = checkpointed(pairs.withColumn("key", F.monotonically_increasing_id()))
     joined = docs.alias("d").join(keys.alias("k"), F.expr("d.doc_id <=> k.doc_id AND d.mark = k.mark"))
-    return joined.select("k.key", "d.doc_id", "d.text")
+    return joined.select("k.key", "d.text"), keys.select("key", "doc_id")
+
+
+def with_ids(found: DataFrame, ids: DataFrame | None, kind: str, name: str = "doc_id") -> DataFrame:
+    """``found(key, ...)`` with the id of each key in the key's place."""
+    rest = [c for c in found.columns if c != "key"]
+    if ids is None:
+        return found.select(F.col("key").cast(kind).alias(name), *rest)
+    return found.join(ids, "key").select(F.col("doc_id").alias(name), *rest)
