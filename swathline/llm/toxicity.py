@@ -200,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     chosen = once.orderBy(order, "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-    table = rows.toArrow().to_pandas().drop_duplicates("doc_id") if hasattr(rows, "toArrow") else rows.toPandas().drop_duplicates("doc_id")
+    table = rows.toArrow().to_pandas().drop_duplicates("doc_id")
     table = table.sort_values("doc_id")
     return Model.fit(table["text"].tolist(), table["label"].to_numpy())
 
