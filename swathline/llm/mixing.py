@@ -152,6 +152,13 @@ def _close(rows: DataFrame, targets: dict[str | None, float], cap: int, share: i
 
 
 def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it."""
-    counts = mixed.where("copies > 0").select(F.col("doc_id").alias(id_col), "copies")
-    return docs.join(counts, id_col).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
+    """The rows of ``docs``, each as many times as the mix takes it, with the same columns.
+
+    Rows that share an id (null ids among them) are taken equally often: the least of their copies.
+    """
+    counts = mixed.groupBy("doc_id").agg(F.min("copies").alias("copies")).where("copies > 0")
+    joined = docs.alias("d").join(counts.alias("c"), F.col(f"d.{id_col}").eqNullSafe(F.col("c.doc_id")))
+    times = F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))
+    # the copy's number is dropped again: equal rows are the point
+    numbered = joined.select(F.struct("d.*").alias("row"), times.alias("copy"))
+    return numbered.select("row.*")

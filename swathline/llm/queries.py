@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credentials, mixing, quality, repeats, simhash
+from . import credentials, decontaminate, language, mixing, quality, repeats, rollup, simhash, tokenstore, toxicity
+from .textkit import WORD, checkpointed
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained(_documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "n_shared", "n_item")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -23,10 +29,36 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(_documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.find(_documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenstore.encoded(_documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; those labelled low in quality go; toxic ones are counted again without their digits; the deletes are replayed."""
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    counts = checkpointed(rollup.measured(docs.select("doc_id", "source", "lang", "text")))
+    book = rollup.Rollup(spark)
+    book.commit("1-load", rollup.inserts(counts))
+    low = rollup.deletes(counts.join(marks.where("quality = 0"), "doc_id", "left_semi"))
+    book.commit("2-low-quality", low)
+    changed = marks.where("toxic = 1 AND (quality IS NULL OR quality <> 0)").select("doc_id")
+    redacted = docs.join(changed, "doc_id", "left_semi").select("doc_id", "source", "lang", F.regexp_replace("text", "[0-9]+", "").alias("text"))
+    book.commit("3-redacted", rollup.revisions(counts.join(changed, "doc_id", "left_semi"), rollup.measured(redacted)))
+    book.commit("2-low-quality", low)
+    return book.totals()
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir).select("doc_id", "source", "text")).drop("copies")
 
@@ -35,24 +67,50 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cut(_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op6_token_store": op6_token_store,
+    "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_language": op10_language,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+NORMAL = f"regexp_extract_all(lower(coalesce(text, '')), '[^{decontaminate.NOT_WORD}]+')"
+
 ORACLES: dict[str, str] = {
+    "op1_decontamination": rf"""
+WITH i AS (SELECT item_id, {NORMAL} AS w FROM benchmark), d AS (SELECT doc_id, {NORMAL} AS w FROM documents),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM i WHERE len(w) >= 5)),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5)),
+q AS (SELECT item_id, count(*) AS n_item FROM ig GROUP BY item_id),
+s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ig JOIN dg USING (gram) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_item FROM s JOIN q USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9""",
+    "op7_token_counts": rf"""
+WITH v AS (SELECT * FROM (VALUES ('words-1'), ('pieces-1')) AS t(version)),
+m AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, source, lang, CASE WHEN m.toxic = 1 THEN regexp_replace(text, '[0-9]+', '', 'g') ELSE text END AS text
+  FROM documents LEFT JOIN m USING (doc_id) WHERE m.quality IS NULL OR m.quality <> 0)
+SELECT source, lang, version, count(*) AS n_docs, CAST(sum(CASE version WHEN 'words-1' THEN len(regexp_extract_all(coalesce(text, ''), '{WORD}'))
+  ELSE len(regexp_extract_all(coalesce(text, ''), '{rollup.VERSIONS["pieces-1"]}')) END) AS BIGINT) AS n_tokens FROM d, v GROUP BY source, lang, version""",
     "op3_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
 g AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
 twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
 rep AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM twice, (SELECT unnest(range(0, 8)) AS k) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-worded AS (SELECT doc_id, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id, line),
+worded AS (SELECT doc_id, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id, line),
 dup AS (SELECT doc_id, sum(n - 1) AS n_dup, sum(n) AS n_lines FROM worded GROUP BY doc_id),
 m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,

@@ -71,9 +71,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Chunk:
     """Some whole documents.  ``at``: their byte limits in ``data``; ``first``: their word limits in ``starts``."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, row: int):
+    def __init__(self, data: np.ndarray, at: np.ndarray, row: int, space: np.ndarray = _IS_SPACE):
         self.data, self.at, self.row = data, at, row
-        word = ~_IS_SPACE[data]
+        word = ~space[data]
         starts, ends = word.copy(), word.copy()
         starts[1:] &= ~word[:-1]
         ends[:-1] &= ~word[1:]
@@ -159,13 +159,13 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)), at
 
 
-def chunks(column: pa.Array, *, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
+def chunks(column: pa.Array, *, lower: bool = False, space: np.ndarray = _IS_SPACE, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     data, at = text_buffers(column)
     row, rows = 0, len(at) - 1
     while row < rows:
         end = min(rows, max(row + 1, int(np.searchsorted(at, at[row] + limit, "right")) - 1))
         part = data[at[row] : at[end]]
-        yield Chunk(_LOWER[part] if lower else part, at[row : end + 1] - at[row], row)
+        yield Chunk(_LOWER[part] if lower else part, at[row : end + 1] - at[row], row, space)
         row = end
 
 
