@@ -262,7 +262,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, h
     ``docs(key, text)`` has one row a text; see ``document_keys``.
     """
     found = runs(docs, window, anchor)
-    often = found.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    # kept first, so that both sides of the join are plain exchanges and a hot anchor can be split
+    often = checkpointed(found.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"))
     seen = checkpointed(found.join(often, "anchor"))
     firsts = checkpointed(seen.groupBy("anchor", "context").agg(F.min(F.struct("key", "start")).alias("first"), F.max("n").alias("n")))
     several = firsts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
