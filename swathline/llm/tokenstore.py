@@ -8,8 +8,9 @@ page, and a filter on ids reads only the pages that hold them.
 A file row knows its part and the ids before it within the part; the parts' totals, one number a task, give the global
 position.
 
-Byte-level BPE works on pieces that never span a single space followed by more text, so a text is split there and each
-distinct piece is encoded once a worker.  Texts where a space meets other white space or the end are encoded whole.
+Byte-level BPE works on pre-tokens that never span a single space followed by more text, so a text is split there and each
+distinct piece is encoded once while a worker remembers it.  Texts where a space meets other white space or the end are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,10 @@ ROW_GROUP = 16 << 20
 PAGE = 256 << 10
 #: Pieces a worker remembers.
 REMEMBERED = 500_000
+#: How the byte-level pre-tokenizer cuts a text, and the characters it writes bytes as: printable Latin-1 as it is, the rest from 256 on.
+_PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _UNSAFE = re.compile(r" (?:\s|\Z)")
 WRITE_OPTIONS = {
     "parquet.block.size": str(ROW_GROUP),
@@ -53,21 +59,25 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        # in a byte-level vocabulary a token has one character a byte
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, number in vocabulary.items():
-            self.bytes_of[number] = len(token)
+        self.parts: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _part(self, part: str) -> bytes:
+        """The ids of one pre-token, by the tokenizer's model."""
+        found = self.parts.get(part)
+        if found is None:
+            level = part.encode("utf-8", "replace").decode("latin-1").translate(_LEVEL)
+            found = self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(level)]).tobytes()
+        return found
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces, a space before each, as one text, and cut its ids where they end."""
-        for at in range(0, len(pieces), 2000):
-            part = pieces[at : at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            sizes = np.fromiter((len(p.encode("utf-8", "surrogatepass")) + 1 for p in part), np.int64, len(part))
-            cuts = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)) + 1)).tolist()
-            raw = ids.tobytes()
-            self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+        """Encode pieces, a space before each: many share the pre-tokens they are made of."""
+        part = self._part
+        for piece in pieces:
+            if any(s in piece for s in self.special):
+                self.known[piece] = self._ids([" " + piece])[0]
+            else:
+                self.known[piece] = b"".join(map(part, _PRE_TOKEN.findall(" " + piece)))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -75,6 +85,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.parts.clear()
         known = self.known
         split = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
         whole = dict(zip(todo := [i for i, s in enumerate(split) if s is None], self._ids([texts[i] for i in todo]), strict=True))
