@@ -60,6 +60,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _part(self, part: str) -> bytes:
@@ -67,14 +68,14 @@ class Encoder:
         found = self.parts.get(part)
         if found is None:
             level = part.encode("utf-8", "replace").decode("latin-1").translate(_LEVEL)
-            found = self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(level)]).tobytes()
+            found = self.parts[part] = array("I", [t.id for t in self.model.tokenize(level)]).tobytes()
         return found
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces, a space before each: many share the pre-tokens they are made of."""
-        part = self._part
+        part, special = self._part, re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         for piece in pieces:
-            if any(s in piece for s in self.special):
+            if special.search(piece):
                 self.known[piece] = self._ids([" " + piece])[0]
             else:
                 self.known[piece] = b"".join(map(part, _PRE_TOKEN.findall(" " + piece)))
