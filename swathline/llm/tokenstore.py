@@ -34,8 +34,8 @@ from .textkit import shared_folder
 END_ID = 0
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
-#: Pieces, and pre-tokens, a worker remembers.
-REMEMBERED = 600_000
+#: Pieces and pre-tokens a worker remembers; the latter cost more to encode.
+REMEMBERED, REMEMBERED_PARTS = 200_000, 400_000
 #: How the byte-level pre-tokenizer cuts a text, and the characters it writes bytes as: printable Latin-1 as it is, the rest from 256 on.
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -86,7 +86,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > REMEMBERED_PARTS:
             self.parts.clear()
         known = self.known
         split = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
