@@ -1,10 +1,5 @@
 """The registered queries of the engine and the SQL each should agree with."""
 
-from __future__ import annotations
+from swathline.plans.queries import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
