@@ -26,7 +26,7 @@ LONGEST = 4
 BITS = 14
 LANDMARKS = 256
 #: Labelled documents a model is fitted on at most, those of least hash.
-SAMPLE = 4000
+SAMPLE = 2000
 RIDGE = 1e-3
 BATCH = 64
 LETTER = re.compile(r"[^\W\d_]")
@@ -51,7 +51,9 @@ def bits(texts: list[str | None]) -> np.ndarray:
         if text:
             presence(text, row)
     held = out.sum(axis=1, keepdims=True)
-    return out.astype(np.float32) / np.sqrt(np.maximum(held, 1), dtype=np.float32)
+    scaled = out.astype(np.float32)
+    scaled /= np.sqrt(np.maximum(held, 1), dtype=np.float32)
+    return scaled
 
 
 class Model:
@@ -97,9 +99,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     learn = (F.col("lang").isNotNull()) & F.col("doc_id").isNotNull() & (remainder("doc_id", 4) != 2)
     # ids first: the sort then carries no texts
     chosen = usable.where(learn).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    table = usable.where(learn & F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").toArrow().to_pandas().drop_duplicates("doc_id").sort_values("doc_id")
-    table = table[[bool(LETTER.search(t)) for t in table["text"]]]
-    return Model.fit(table["text"].tolist(), table["lang"].tolist())
+    rows = usable.where(learn & F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang").collect()
+    by_id = {r.doc_id: r for r in sorted(rows, key=lambda r: (r.doc_id, r.text, r.lang), reverse=True) if LETTER.search(r.text)}
+    table = [by_id[i] for i in sorted(by_id)]
+    return Model.fit([r.text for r in table], [r.lang for r in table])
 
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -158,10 +158,10 @@ class Model:
 
     @classmethod
     def fit(cls, texts: list[str], labels: np.ndarray) -> Model:
-        """Without labels, or with labels of one kind only, the score is the labels' mean (0 without any)."""
+        """With fewer than 20 labels, or labels of one kind, the score is their smoothed mean (a quarter without any)."""
         labels = np.asarray(labels, float)
         if len(labels) < 20 or labels.min() == labels.max():
-            return cls({}, None, np.zeros(0), np.zeros(0), float(labels.mean()) if len(labels) else 0.0)
+            return cls({}, None, np.zeros(0), np.zeros(0), float((labels.sum() + 1) / (len(labels) + 4)))
         # calibration is fitted on margins of documents that the trees haven't seen
         fold = np.arange(len(labels)) % 3
         margins = np.zeros(len(labels))
@@ -200,9 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     chosen = once.orderBy(order, "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-    table = rows.toArrow().to_pandas().drop_duplicates("doc_id")
-    table = table.sort_values("doc_id")
-    return Model.fit(table["text"].tolist(), table["label"].to_numpy())
+    # one text an id, in the order of ids; the sample's bound is also that of what comes to the driver
+    by_id = {r.doc_id: r for r in sorted(rows.collect(), key=lambda r: (r.doc_id, r.text), reverse=True)}
+    table = [by_id[i] for i in sorted(by_id)]
+    return Model.fit([r.text for r in table], np.array([r.label for r in table], float))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
