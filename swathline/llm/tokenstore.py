@@ -34,8 +34,10 @@ from .textkit import shared_folder
 END_ID = 0
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
-#: Pieces and pre-tokens a worker remembers; the latter cost more to encode.
-REMEMBERED, REMEMBERED_PARTS = 200_000, 400_000
+#: Pieces, and pre-tokens, a worker remembers: the first it meets, among which the frequent ones are.
+REMEMBERED = 300_000
+#: Where more than this share of a batch is new, the texts have changed and the memory starts anew.
+FORGET = 0.4
 #: How the byte-level pre-tokenizer cuts a text, and the characters it writes bytes as: printable Latin-1 as it is, the rest from 256 on.
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -60,6 +62,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.fresh: list[str] = []
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
@@ -67,6 +70,7 @@ class Encoder:
         """The ids of one pre-token, by the tokenizer's model."""
         found = self.parts.get(part)
         if found is None:
+            self.fresh.append(part)
             level = part.encode("utf-8", "replace").decode("latin-1").translate(_LEVEL)
             found = self.parts[part] = array("I", [t.id for t in self.model.tokenize(level)]).tobytes()
         return found
@@ -75,7 +79,11 @@ class Encoder:
         """Encode pieces, a space before each: many share the pre-tokens they are made of."""
         part, special = self._part, re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         for piece in pieces:
-            if special.search(piece):
+            word = piece.rstrip(".,;:!?")
+            if word.isalpha():
+                tail = piece[len(word) :]
+                self.known[piece] = part(" " + word) + part(tail) if tail else part(" " + word)
+            elif special.search(piece):
                 self.known[piece] = self._ids([" " + piece])[0]
             else:
                 self.known[piece] = b"".join(map(part, _PRE_TOKEN.findall(" " + piece)))
@@ -84,18 +92,24 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if len(self.parts) > REMEMBERED_PARTS:
-            self.parts.clear()
         known = self.known
         split = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
         whole = dict(zip(todo := [i for i, s in enumerate(split) if s is None], self._ids([texts[i] for i in todo]), strict=True))
         # the first piece of a text has no space before it
         heads = self._ids([s[0] if s else "" for s in split])
-        self._learn(list({p for s in split if s for p in s[1:] if p not in known}))
+        new = list(set().union(*(s[1:] for s in split if s)).difference(known))
+        self._learn(new)
         get = known.__getitem__
-        return [whole[i] if s is None else heads[i] + b"".join(map(get, s[1:])) for i, s in enumerate(split)]
+        found = [whole[i] if s is None else heads[i] + b"".join(map(get, s[1:])) for i, s in enumerate(split)]
+        if len(new) > FORGET * sum(len(s) for s in split if s):
+            known.clear()
+            self.parts.clear()
+        for memory, latest in ((known, new), (self.parts, self.fresh)):
+            if len(memory) > REMEMBERED:
+                for x in latest:
+                    memory.pop(x, None)
+        self.fresh = []
+        return found
 
 
 @functools.cache
