@@ -49,7 +49,7 @@ WRITE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
     "parquet.enable.dictionary": "true",
     "parquet.writer.version": "PARQUET_2_0",
-    "compression": "zstd",
+    "compression": "snappy",
 }
 
 
@@ -117,7 +117,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _batches(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+def _batches(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Texts of about ``limit`` characters with the row of the first."""
     at, texts, size = 0, [], 0
     for row in range(len(column)):
