@@ -26,7 +26,8 @@ ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN = 6
-CANDIDATE = re.compile(r"[A-Za-z0-9_+/=.-]{16,}")
+#: Runs of the families' symbols; what joins a name to its value, or the parts of a URL, ends a run.
+CANDIDATE = re.compile(r"[A-Za-z0-9_-]{16,}")
 
 #: Families of credentials: prefix, alphabet and lengths, as their issuers publish them.  Fixed values.
 FAMILIES = {
@@ -189,7 +190,7 @@ def grammar_spans(text: str) -> list[tuple[int, int, str]]:
     openings = _openings()
     found = []
     for m in CANDIDATE.finditer(text):
-        token = m[0].rstrip(".=")
+        token = m[0]
         if token[:1] in openings and (hit := classify(token)):
             found.append((m.start(), m.start() + len(token), hit[0]))
     return found
