@@ -47,14 +47,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; those labelled low in quality go; toxic ones are counted again without their digits; the deletes are replayed."""
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    counts = checkpointed(rollup.measured(docs.select("doc_id", "source", "lang", "text")))
+    counts = checkpointed(rollup.measured(docs.select("doc_id", "source", "lang", "text"), redacting="[0-9]+"))
     book = rollup.Rollup(spark)
     book.commit("1-load", rollup.inserts(counts))
     low = rollup.deletes(counts.join(marks.where("quality = 0"), "doc_id", "left_semi"))
     book.commit("2-low-quality", low)
     changed = marks.where("toxic = 1 AND (quality IS NULL OR quality <> 0)").select("doc_id")
-    redacted = docs.join(changed, "doc_id", "left_semi").select("doc_id", "source", "lang", F.regexp_replace("text", "[0-9]+", "").alias("text"))
-    book.commit("3-redacted", rollup.revisions(counts.join(changed, "doc_id", "left_semi"), rollup.measured(redacted)))
+    old = counts.join(changed, "doc_id", "left_semi")
+    book.commit("3-redacted", rollup.revisions(old, old.withColumn("tokens", F.col("redacted"))))
     book.commit("2-low-quality", low)
     return book.totals()
 

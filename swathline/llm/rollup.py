@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .textkit import WORD, shared_folder
@@ -26,11 +26,25 @@ VERSIONS = {
 }
 
 
-def measured(docs: DataFrame, versions: dict[str, str] | None = None) -> DataFrame:
-    """``(doc_id, source, lang, version, tokens)`` for each row and version; a null text has no tokens."""
-    versions = VERSIONS if versions is None else versions
-    counts = [F.struct(F.lit(name).alias("version"), F.coalesce(F.regexp_count(F.col("text"), F.lit(pattern)), F.lit(0)).cast("long").alias("tokens")) for name, pattern in versions.items()]
-    return docs.select("doc_id", "source", "lang", F.explode(F.array(*counts)).alias("c")).select("doc_id", "source", "lang", "c.version", "c.tokens")
+def _tokens(text: Column, pattern: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long")
+
+
+def measured(docs: DataFrame, versions: dict[str, str] | None = None, redacting: str | None = None) -> DataFrame:
+    """``(doc_id, source, lang, version, tokens)`` for each row and version; a null text has no tokens.
+
+    With ``redacting``, a pattern, a column ``redacted`` as well: the tokens of the text without what the pattern matches.
+    Both are counted where the text is read, so what chooses the documents to redact is joined with counts alone.
+    """
+    versions, text = VERSIONS if versions is None else versions, F.col("text")
+    counts = []
+    for name, pattern in versions.items():
+        fields = [F.lit(name).alias("version"), _tokens(text, pattern).alias("tokens")]
+        if redacting:
+            less = F.when(text.rlike(redacting), _tokens(F.regexp_replace(text, redacting, ""), pattern)).otherwise(fields[1])
+            fields.append(less.alias("redacted"))
+        counts.append(F.struct(*fields))
+    return docs.select("doc_id", "source", "lang", F.explode(F.array(*counts)).alias("c")).select("doc_id", "source", "lang", "c.*")
 
 
 def inserts(rows: DataFrame) -> DataFrame:
