@@ -9,7 +9,7 @@ A file row knows its part and the ids before it within the part; the parts' tota
 position.
 
 Byte-level BPE works on pre-tokens that never span a single space followed by more text, so a text is split there and each
-distinct piece is encoded once while a worker remembers it.  Texts where a space meets other white space or the end are
+distinct piece is encoded once while a worker remembers it; new pieces of a batch are encoded together.  Texts where a space meets other white space or the end are
 encoded whole.
 """
 
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,15 +33,14 @@ from .textkit import shared_folder
 END_ID = 0
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
-#: Pieces, and pre-tokens, a worker remembers: the first it meets, among which the frequent ones are.
+#: Pieces a worker remembers: the first it meets, among which the frequent ones are.
 REMEMBERED = 300_000
 #: Where more than this share of a batch is new, the texts have changed and the memory starts anew.
 FORGET = 0.4
-#: How the byte-level pre-tokenizer cuts a text, and the characters it writes bytes as: printable Latin-1 as it is, the rest from 256 on.
-_PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_UNSAFE = re.compile(r" (?:\s|\Z)")
+#: Pieces encoded as one text.
+RUN = 2048
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
 WRITE_OPTIONS = {
     "parquet.block.size": str(ROW_GROUP),
     "parquet.page.size": str(PAGE),
@@ -61,54 +59,49 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.fresh: list[str] = []
-        self.model = self.tokenizer.model
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _part(self, part: str) -> bytes:
-        """The ids of one pre-token, by the tokenizer's model."""
-        found = self.parts.get(part)
-        if found is None:
-            self.fresh.append(part)
-            level = part.encode("utf-8", "replace").decode("latin-1").translate(_LEVEL)
-            found = self.parts[part] = array("I", [t.id for t in self.model.tokenize(level)]).tobytes()
-        return found
+        vocabulary = self.tokenizer.get_vocab()
+        #: Whether an id's token begins with a space, which only the first of a piece does.
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces, a space before each: many share the pre-tokens they are made of."""
-        part, special = self._part, re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
-        for piece in pieces:
-            word = piece.rstrip(".,;:!?")
-            if word.isalpha():
-                tail = piece[len(word) :]
-                self.known[piece] = part(" " + word) + part(tail) if tail else part(" " + word)
-            elif special.search(piece):
-                self.known[piece] = self._ids([" " + piece])[0]
+        """Encode pieces, a space before each: many in one text, whose ids are cut where a token begins with a space."""
+        known, special = self.known, self.special
+        odd = [p for p in pieces if special.search(p)]
+        known.update(zip(odd, self._ids([" " + p for p in odd]), strict=True))
+        plain = [p for p in pieces if p not in known] if odd else pieces
+        for run in (plain[i : i + RUN] for i in range(0, len(plain), RUN)):
+            ids = self._ids([" " + " ".join(run)])[0]
+            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, np.uint32)])).tolist()
+            if len(cuts) == len(run):
+                known.update(zip(run, map(ids.__getitem__, map(slice, cuts, [*cuts[1:], len(ids)])), strict=True))
             else:
-                self.known[piece] = b"".join(map(part, _PRE_TOKEN.findall(" " + piece)))
+                known.update(zip(run, self._ids([" " + p for p in run]), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
-        split = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
-        whole = dict(zip(todo := [i for i, s in enumerate(split) if s is None], self._ids([texts[i] for i in todo]), strict=True))
+        split = [t.split(" ") for t in texts]
         # the first piece of a text has no space before it
-        heads = self._ids([s[0] if s else "" for s in split])
-        new = list(set().union(*(s[1:] for s in split if s)).difference(known))
-        self._learn(new)
+        heads = [s.pop(0) for s in split]
+        new = set().union(*split).difference(known)
+        # a space before white space or the end joins it: such texts are encoded whole
+        joins = {p for p in new if not p or p[0].isspace()}
+        whole = {i for i, s in enumerate(split) if not joins.isdisjoint(s)} if joins else set()
+        if whole:
+            new = set().union(*(s for i, s in enumerate(split) if i not in whole)).difference(known)
+        self._learn(list(new))
         get = known.__getitem__
-        found = [whole[i] if s is None else heads[i] + b"".join(map(get, s[1:])) for i, s in enumerate(split)]
-        if len(new) > FORGET * sum(len(s) for s in split if s):
+        begun = self._ids([texts[i] if i in whole else head for i, head in enumerate(heads)])
+        found = [ids if i in whole else ids + b"".join(map(get, s)) for i, (ids, s) in enumerate(zip(begun, split, strict=True))]
+        if len(new) > FORGET * sum(map(len, split)):
             known.clear()
-            self.parts.clear()
-        for memory, latest in ((known, new), (self.parts, self.fresh)):
-            if len(memory) > REMEMBERED:
-                for x in latest:
-                    memory.pop(x, None)
-        self.fresh = []
+        if len(known) > REMEMBERED:
+            for piece in new:
+                known.pop(piece, None)
         return found
 
 
