@@ -213,3 +213,15 @@ def test_isotonic_is_monotone():
     x = draw.random(200)
     knots, values = toxicity.isotonic(x, (draw.random(200) < x).astype(float))
     assert (np.diff(knots) >= 0).all() and (np.diff(values) >= 0).all()
+
+
+def test_credentials_after_a_name_or_inside_a_url():
+    token = "ghp_" + "aB3" * 12
+    for text in (f"auth={token}", f"https://host/{token}/x", f"see {token}."):
+        assert credentials.grammar_spans(text) == [(text.index(token), text.index(token) + len(token), "github")]
+
+
+def test_redacted_counts(spark):
+    docs = spark.createDataFrame([(1, "s", "en", "a1 22 b"), (2, "s", "en", "no digits"), (3, None, None, None)], "doc_id long, source string, lang string, text string")
+    found = {(r.doc_id, r.version): (r.tokens, r.redacted) for r in rollup.measured(docs, {"w": rollup.WORD}, redacting="[0-9]+").collect()}
+    assert found == {(1, "w"): (3, 2), (2, "w"): (2, 2), (3, "w"): (0, 0)}
