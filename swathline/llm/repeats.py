@@ -279,9 +279,12 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, h
         earliest = single.groupBy("window").agg(F.min(at).alias("earliest"))
         later = single.join(earliest, "window").where(at != F.col("earliest"))
         masks = masks.union(later.groupBy("anchor", "context").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")))
-    known = firsts.select("anchor", "context", "first").join(masks, ["anchor", "context"], "left")
-    mask = F.when(F.col("first") == F.struct("key", "start"), F.coalesce("mask", F.lit(0))).otherwise(F.expr("shiftleft(1L, CAST(n AS INT)) - 1"))
-    return seen.join(known, ["anchor", "context"]).select("key", "start", mask.alias("mask")).where("mask <> 0")
+    # both sides are plain exchanges of written tables, so a context of many copies can be split; firsts are one a context
+    place_of = F.struct("key", "start")
+    later_runs = seen.join(firsts.select("anchor", "context", "first"), ["anchor", "context"]).where(F.col("first") != place_of)
+    copies = later_runs.select("key", "start", F.expr("shiftleft(1L, CAST(n AS INT)) - 1").alias("mask"))
+    own = firsts.join(masks, ["anchor", "context"]).select("first.key", "first.start", "mask").where("mask <> 0")
+    return copies.unionByName(own)
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
