@@ -1,5 +1,6 @@
 """The registered queries of the engine and the SQL each should agree with."""
 
+from swathline.plans import inspections  # noqa: F401  registers its queries
 from swathline.plans.queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

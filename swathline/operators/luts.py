@@ -100,9 +100,9 @@ def azimuth(sections: DataFrame, rows: DataFrame, by: Sequence[str] = ()) -> Dat
 
 def noise_anchors(noise: DataFrame, height: int, width: int, window: int) -> DataFrame:
     """Places of positive noise ``(line, pixel, noise)``, the most useful first: whole windows, nearness to the centre, more noise."""
-    half = window / 2
+    half = window // 2
     inside = noise.where((F.col("noise") > 0) & F.col("line").between(0, height - 1) & F.col("pixel").between(0, width - 1))
     best = inside.groupBy("line", "pixel").agg(F.max("noise").alias("noise"))
-    interior = F.col("line").between(half, height - half) & F.col("pixel").between(half, width - half)
-    distance = F.pow(F.col("line") - height / 2, 2) + F.pow(F.col("pixel") - width / 2, 2)
+    interior = F.col("line").between(half, height - half - 1) & F.col("pixel").between(half, width - half - 1)
+    distance = F.pow(F.col("line") - (height - 1) / 2, 2) + F.pow(F.col("pixel") - (width - 1) / 2, 2)
     return best.withColumns({"interior": interior, "distance": distance}).orderBy(F.desc("interior"), "distance", F.desc("noise"), "line", "pixel")

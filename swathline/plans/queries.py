@@ -394,7 +394,7 @@ def record_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""{_SCENES}, b AS (SELECT CAST(floor(coverage * 10) AS INT) AS r, CAST(relative_orbit % 64 AS INT) AS k, absolute_orbit AS v FROM g)
-SELECT r AS line, k AS pixel, CAST(max(v) AS DOUBLE) AS noise, r BETWEEN 2 AND 6 AND k BETWEEN 2 AND 62 AS interior FROM b WHERE v > 0 AND r < 8 GROUP BY r, k"""
+SELECT r AS line, k AS pixel, CAST(max(v) AS DOUBLE) AS noise, r BETWEEN 2 AND 5 AND k BETWEEN 2 AND 61 AS interior FROM b WHERE v > 0 AND r < 8 GROUP BY r, k"""
 )
 def noise_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _eligible(spark, sf_dir).where("eligible").select(F.floor(F.col("coverage") * 10).cast("int").alias("line"), (F.col("relative_orbit") % 64).cast("int").alias("pixel"), F.col("absolute_orbit").cast("double").alias("noise"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from swathline.plans.queries import ORACLES, QUERIES
+from swathline.catalogue import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
