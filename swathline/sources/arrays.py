@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = "path string, name string, dtype string, shape array<bigint>, numbers array<double>, texts array<string>"
+SCHEMA = "path string, name string, dtype string, shape array<bigint>, integers array<bigint>, numbers array<double>, texts array<string>"
 
 
 def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -20,13 +20,16 @@ def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with np.load(io.BytesIO(content), allow_pickle=False) as bundle:
                 for name in bundle.files:
                     array = bundle[name]
-                    numeric = array.dtype.kind in "biuf"
-                    rows.append((path, name, str(array.dtype), list(array.shape), array.astype(float).ravel().tolist() if numeric else None, None if numeric else array.astype(str).ravel().tolist()))
+                    kind = array.dtype.kind
+                    integers = array.astype(np.int64).ravel().tolist() if kind in "biu" else None
+                    numbers = array.astype(float).ravel().tolist() if kind == "f" else None
+                    texts = None if kind in "biuf" else array.astype(str).ravel().tolist()
+                    rows.append((path, name, str(array.dtype), list(array.shape), integers, numbers, texts))
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
 def bundles(spark: SparkSession, path: str) -> DataFrame:
-    """One row an array, in row-major order: numbers and booleans in ``numbers``, all else in ``texts``.  NaN reads as null, as everywhere in the engine.  Pickled objects are refused."""
+    """One row an array, in row-major order: integers (times too) and booleans in ``integers``, floats in ``numbers``, all else in ``texts``.  NaN reads as null, as everywhere in the engine.  Pickled objects are refused."""
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_opened, SCHEMA)
 
 

@@ -70,14 +70,15 @@ def test_elements_and_texts(spark):
 
 def test_bundles_round_trip(spark, tmp_path):
     cells = spark.createDataFrame(
-        [("T1", "b", 20, 7, "VV", 0, 1, 2.5), ("T1", "a", 10, None, "VH", 1, 0, 1.5), ("T1", "a", 10, None, "HH", 0, 0, 9.0)],
+        [("T1", "b", 1521072000123456789, 7, "VV", 0, 1, 2.5), ("T1", "a", 10, None, "VH", 1, 0, 1.5), ("T1", "a", 10, None, "HH", 0, 0, 9.0)],
         "tile string, item_id string, time_ns long, orbit long, band string, y int, x int, value double",
     )
     row = arrays.scene_bundles(cells, ["VV", "VH"], 2, 2).first()
     (tmp_path / "T1.npz").write_bytes(row.content)
     read = arrays.bundles(spark, str(tmp_path))
     found = {r.name: r for r in read.collect()}
-    assert found["values"].shape == [2, 2, 2, 2] and found["orbit"].numbers == [-1.0, 7.0] and found["item_id"].texts == ["a", "b"] and found["band"].texts == ["VV", "VH"]
+    assert found["values"].shape == [2, 2, 2, 2] and found["orbit"].integers == [-1, 7] and found["item_id"].texts == ["a", "b"] and found["band"].texts == ["VV", "VH"]
+    assert found["time"].integers == [10, 1521072000123456789]
     values = np.array(found["values"].numbers, float).reshape(2, 2, 2, 2)
     assert values[0, 1, 0, 1] == 1.5 and values[1, 0, 1, 0] == 2.5 and np.isfinite(values).sum() == 2
     assert [r.reason for r in arrays.faults(read, {"orbit": ["time"], "band": ["time"], "gone": ["time"]}).collect()] == ["gone is missing"]
