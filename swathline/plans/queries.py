@@ -233,7 +233,14 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_LUT} SELECT row, col, round(lut, 9) AS lut FROM lut WHERE row % 10 = 3")
 def lut_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = luts.interpolated(_vectors(spark, sf_dir), adapters.SAMPLES).where("row % 10 = 3")
+    """One line in ten of ``lut_lines``."""
+    return lut_lines(spark, sf_dir).where("row % 10 = 3")
+
+
+@query(f"WITH {_LUT}, z AS (SELECT max(line) AS line FROM k) SELECT row, col, round(lut, 9) AS lut FROM lut UNION ALL SELECT line, col, round(v, 9) FROM a JOIN z USING (line)")
+def lut_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line from the first calibration vector to the last."""
+    rows = luts.interpolated(_vectors(spark, sf_dir), adapters.SAMPLES)
     return rows.select("row", F.posexplode("values").alias("col", "lut")).select("row", F.col("col").cast("long").alias("col"), F.round("lut", 9).alias("lut"))
 
 

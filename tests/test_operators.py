@@ -138,3 +138,12 @@ def test_stream_of_jobs(spark, tmp_path):
 def test_batches(spark):
     found = jobs.batches(spark.range(25).withColumnRenamed("id", "ordinal")).groupBy("batch").count().collect()
     assert sorted(r["count"] for r in found) == [5, 10, 10]
+
+
+def test_every_calibration_line_is_returned(spark):
+    from swathline.plans.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    last = spark.read.parquet(f"{folder}/embeddings.parquet").agg(F.max("vec_id")).first()[0]
+    counts = {r.row: r["count"] for r in QUERIES["lut_lines"](spark, folder).groupBy("row").count().collect()}
+    assert counts == dict.fromkeys(range((last // 20 + 1) * 20 + 1), 64)
