@@ -1,10 +1,11 @@
 """Mixing sources to target weights by entropy balancing, in DataFrame operations only.
 
-The rates r_i of a source's documents minimise the relative entropy of the mix, weighted by tokens,
-sum size_i (r_i log r_i - r_i + 1), under the source's token constraint sum size_i r_i = target and r_i <= 3.  The convex
-dual has one multiplier a source; its solution is the exponentially tilted rate r_i = min(3, b_i exp(lambda)), with b_i
-the document's base rate (1 unless a column says otherwise).  Newton steps on the dual take the gradient and the
-Hessian from one aggregation of the documents by source and base rate; only one row a source reaches the driver.
+The rates r_i of a source's documents minimise the relative entropy of the mix to the base rates b_i (1 unless a column
+says otherwise), sum r_i log(r_i / b_i) - r_i + b_i over documents, under the source's token constraint
+sum size_i r_i = target and r_i <= 3.  The convex dual has one multiplier a source; its solution is the exponentially
+tilted rate r_i = min(3, b_i exp(lambda size_i)), so a source that should give more gives it by its long documents first,
+and one that should give less leaves these out first.  Newton steps on the dual, held in a bracket, take the gradient and the Hessian
+from one aggregation of the documents by source, base rate and size; only one row a source reaches the driver.
 
 Rates become copies by systematic rounding along the sizes of a source: floor(R_i + 1/2) - floor(R_{i-1} + 1/2), with R the
 running sum of rates from the largest document down, which is never over the ceiling of a rate and misses the target by
@@ -28,6 +29,8 @@ NEWTON_STEPS = 40
 #: Two closing passes: with documents of at most half of what is missed, then an eighth of the rest.
 SHARES = (2, 8)
 TOLERANCE = 1e-9
+#: Rates are over any cap from this power on.
+LARGEST_POWER = 50.0
 
 
 def token_targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> dict[str | None, float]:
@@ -58,30 +61,47 @@ def _case(column: str, values: dict[str | None, float]) -> Column:
     return F.when(F.col(column).isNull(), F.lit(float(values.get(None, 0.0)))).otherwise(found)
 
 
-def solve(profile: DataFrame, targets: dict[str | None, float], sizes: dict[str | None, int], cap: int = CAP) -> dict[str | None, float]:
+def tilted(multipliers: dict[str | None, float]) -> Column:
+    """The rate of a row ``(source, base, size)`` before the cap; a size of zero leaves the base rate."""
+    multiplier = _case("source", multipliers)
+    power = F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(LARGEST_POWER), multiplier * F.col("size")))
+    return F.when(multiplier == -math.inf, 0.0).otherwise(F.col("base") * F.exp(power))
+
+
+def solve(profile: DataFrame, targets: dict[str | None, float], cap: int = CAP) -> dict[str | None, float]:
     """The multiplier of each source, by Newton steps on the dual.
 
-    ``profile(source, base, size)``: tokens by source and base rate.  A source whose target is the cap itself has an
-    infinite multiplier; one without tokens, or with no target, has minus infinity.
+    ``profile(source, base, size, n)``: documents by source, base rate and size.  A source whose target is the cap itself has
+    an infinite multiplier; one without tokens, or with no target, has minus infinity.
     """
-    lam = {s: math.inf if t >= cap * sizes[s] else 0.0 for s, t in targets.items()}
-    lam |= {s: -math.inf for s, t in targets.items() if t <= 0 or not sizes[s]}
+    tokens = F.col("n") * F.col("size").cast("double")
+    found = profile.groupBy("source").agg(F.sum(tokens).alias("tokens"), F.sum(tokens * F.col("size")).alias("squares")).collect()
+    lam = {r.source: -math.inf if targets[r.source] <= 0 or not r.tokens else math.inf if targets[r.source] >= cap * r.tokens else 0.0 for r in found}
+    # a step is counted in the size at which a source's mean token lies
+    scale = {r.source: r.squares / r.tokens for r in found if r.tokens}
+    low, high = dict.fromkeys(lam, -math.inf), dict.fromkeys(lam, math.inf)
+    active = {s for s, x in lam.items() if math.isfinite(x)}
     for _ in range(NEWTON_STEPS):
-        active = {s: x for s, x in lam.items() if math.isfinite(x)}
         if not active:
             break
-        tilted = F.col("base") * F.exp(_case("source", active))
-        steps = profile.select("source", "size", tilted.alias("rate"))
-        now = steps.groupBy("source").agg(F.sum(F.col("size") * F.least(F.lit(float(cap)), "rate")).alias("g"), F.sum(F.when(F.col("rate") < cap, F.col("size") * F.col("rate")).otherwise(0.0)).alias("h"))
-        worst = 0.0
+        steps = profile.select("source", "size", tokens.alias("tokens"), tilted({s: lam[s] for s in active}).alias("rate"))
+        inner = F.when(F.col("rate") < cap, F.col("tokens") * F.col("size") * F.col("rate")).otherwise(0.0)
+        now = steps.groupBy("source").agg(F.sum(F.col("tokens") * F.least(F.lit(float(cap)), "rate")).alias("g"), F.sum(inner).alias("h"))
         for row in now.collect():
-            if row.source in active:
-                miss = row.g - targets[row.source]
-                worst = max(worst, abs(miss) / targets[row.source])
-                slope = row.h or row.g
-                lam[row.source] -= max(-1.0, min(1.0, miss / slope))
-        if worst < TOLERANCE:
-            break
+            s = row.source
+            if s not in active:
+                continue
+            miss = row.g - targets[s]
+            if abs(miss) < TOLERANCE * targets[s]:
+                active.discard(s)
+                continue
+            (high if miss > 0 else low)[s] = lam[s]
+            # at most doubled (and a step more) towards a side that has no bound yet
+            reach = 2 / scale[s] + abs(lam[s])
+            step = miss / row.h if row.h else math.copysign(reach, miss)
+            lam[s] -= max(-reach, min(reach, step))
+            if not low[s] < lam[s] < high[s]:
+                lam[s] = (low[s] + high[s]) / 2
     return lam
 
 
@@ -111,21 +131,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """``(doc_id, size, source_size, target, copies, taken)``, one row for each row of ``docs``.
 
     ``copies`` (0 to ``cap``) is how often the mix takes the document and ``taken`` = ``copies * size``.  Null and empty
-    texts have size 0 and are taken as often as their source's rate says; a null source is a source; repeated rows are
+    texts have size 0 and are taken at their base rate, unless their source has no tokens at all; a null source is a source; repeated rows are
     separate documents, each with its own copies.  Reruns agree: ties are broken by a hash of the id and by the id.
     The number of sources is taken to fit the driver (one row each).
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     base = F.coalesce(F.col(base_rate).cast("double"), F.lit(1.0)) if base_rate else F.lit(1.0)
     rows = checkpointed(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), base.alias("base"), F.xxhash64(F.col(id_col)).alias("key")))
-    profile = checkpointed(rows.groupBy("source", "base").agg(F.sum("size").alias("size")))
-    sizes = {r.source: int(r.size) for r in profile.groupBy("source").agg(F.sum("size").alias("size")).collect()}
+    profile = checkpointed(rows.groupBy("source", "base", "size").agg(F.count("*").alias("n")))
+    sizes = {r.source: int(r.tokens) for r in profile.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("tokens")).collect()}
     targets = token_targets(sizes, weights, cap)
-    lam = solve(profile, targets, sizes, cap)
-    tilt = {s: min(math.exp(min(x, 50.0)), 1e9) if x > -math.inf else 0.0 for s, x in lam.items()}
-    rate = F.least(F.lit(float(cap)), F.col("base") * _case("source", tilt))
+    rate = F.least(F.lit(float(cap)), tilted(solve(profile, targets, cap)))
     rated = _running(_cells(rows).withColumn("rate", rate), "rate", "upto")
-    # the running sums of equal rates are products, free of the drift of adding; a tiny push keeps whole sums whole
+    # a tiny push keeps whole sums whole
     half = F.lit(0.5 + 1e-9)
     copies = F.floor(F.col("upto") + half) - F.floor(F.col("upto") - F.col("rate") + half)
     first = checkpointed(rated.withColumn("copies", F.least(F.lit(cap), F.greatest(F.lit(0), copies)).cast("long")).drop("upto", "rate"))

@@ -195,6 +195,25 @@ def test_mix_meets_targets(documents, rows):
         assert abs(taken[name] - target) <= max(largest[name], 0.02 * target)
 
 
+def test_rates_are_tilted_by_size(spark):
+    sizes = {"a": [2, 10, 40, 160], "b": [3, 30, 300], "c": [50]}
+    each = {"a": 200, "b": 300, "c": 3000}
+    docs = spark.createDataFrame([(100_000 * k + 1000 * j + i, s, "w " * n) for k, s in enumerate(sizes) for j, n in enumerate(sizes[s]) for i in range(each[s])], "doc_id long, source string, text string")
+    targets = mixing.token_targets({s: each[s] * sum(ns) for s, ns in sizes.items()})
+    copies = Counter()
+    for r in mixing.mix(docs).collect():
+        copies["abc"[r.doc_id // 100_000], r.size] += r.copies
+    for s, ns in sizes.items():
+        low, high = -1.0, 1.0
+        for _ in range(200):
+            lam = (low + high) / 2
+            rates = [min(3.0, np.exp(min(lam * n, 50))) for n in ns]
+            low, high = (low, lam) if each[s] * np.dot(rates, ns) > targets[s] else (lam, high)
+        for n, rate in zip(ns, rates, strict=True):
+            # the closing passes move a few small documents
+            assert abs(copies[s, n] - each[s] * rate) <= 0.05 * each[s], (s, n)
+
+
 def test_targets_stop_at_the_cap():
     assert mixing.token_targets({"a": 10, "b": 1, "c": 100, None: 0}) == {"b": 3.0, "c": pytest.approx(108 * 0.75), "a": pytest.approx(108 * 0.25), None: 0.0}
 
