@@ -195,12 +195,8 @@ def _joined_search(docs: DataFrame, items: DataFrame, table: DataFrame, sizes: l
     return rows.mapInArrow(verify, _OUT.format(kind=kind))
 
 
-def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``(doc_id, item_id, n_shared, n_item, containment)`` for each document and item it contains to ``threshold``.
-
-    Items without id or with fewer than five words are too short to tell and match nothing, as do null and empty texts.  Repeated
-    items and rows that repeat id and text count once; an id with several texts is found through any of them.
-    """
+def _search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame | None]:
+    """``(key, item, n_shared, n_item)`` by the keys of ``document_keys``, and their ids."""
     kind = benchmark.schema[item_col].dataType.simpleString()
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     items = items.groupBy("item").agg(F.min("text").alias("text"))
@@ -217,6 +213,16 @@ def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
         found = _joined_search(keyed, items, table, sizes, threshold, kind)
     if found is None:
         found = docs.sparkSession.createDataFrame([], _OUT.format(kind=kind))
+    return found, ids
+
+
+def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``(doc_id, item_id, n_shared, n_item, containment)`` for each document and item it contains to ``threshold``.
+
+    Items without id or with fewer than five words are too short to tell and match nothing, as do null and empty texts.  Repeated
+    items and rows that repeat id and text count once; an id with several texts is found through any of them.
+    """
+    found, ids = _search(docs, benchmark, id_col, text_col, **options)
     found = with_ids(found, ids, docs.schema[id_col].dataType.simpleString()).distinct()
     return found.select("doc_id", F.col("item").alias("item_id"), "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
@@ -225,3 +231,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """The rows of ``docs`` that contain no test item; rows with a null id are judged as a group and stay."""
     hit = contained(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(hit, id_col, "left_anti")
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose own text contains no test item, whatever other rows share their id."""
+    found, ids = _search(docs, benchmark, id_col, text_col, **options)
+    if ids is None:
+        return docs.join(found.select(F.col("key").cast(docs.schema[id_col].dataType).alias(id_col)).distinct(), id_col, "left_anti")
+    hit = found.select("key").distinct().join(ids, "key")
+    same = docs[id_col].eqNullSafe(hit["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == hit["mark"])
+    return docs.join(hit, same, "left_anti")

@@ -114,14 +114,14 @@ def _cells(rows: DataFrame) -> DataFrame:
 
 
 def _running(rows: DataFrame, value: str, out: str) -> DataFrame:
-    """``rows(source, size, cell, key, doc_id, ...)`` with the sum of ``value`` over the source up to each row, largest first.
+    """``rows(source, size, cell, key, doc_id, mark, ...)`` with the sum of ``value`` over the source up to each row, largest first.
 
     The window over a source runs on one row a cell; the window over rows holds one cell.
     """
     cells = rows.groupBy("source", "size", "cell").agg(F.sum(value).alias("total"))
     before = Window.partitionBy("source").orderBy(F.desc("size"), "cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("source", "size", "cell", F.coalesce(F.sum("total").over(before), F.lit(0.0)).alias("before"))
-    within = Window.partitionBy("source", "size", "cell").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source", "size", "cell").orderBy("key", "doc_id", "mark").rowsBetween(Window.unboundedPreceding, 0)
     ranked = rows.withColumn("within", F.sum(value).over(within))
     joined = ranked.alias("r").join(cells.alias("c"), F.expr("r.source <=> c.source AND r.size = c.size AND r.cell = c.cell"))
     return joined.select("r.*", (F.col("c.before") + F.col("r.within")).alias(out)).drop("within")
@@ -135,9 +135,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     separate documents, each with its own copies.  Reruns agree: ties are broken by a hash of the id and by the id.
     The number of sources is taken to fit the driver (one row each).
     """
+    mixed, sizes, targets = _mixed(docs, id_col, text_col, source_col, weights, cap, base_rate, F.lit(0).cast("long"))
+    numbers = {s: float(n) for s, n in sizes.items()}
+    return mixed.select("doc_id", "size", _case("source", numbers).cast("long").alias("source_size"), _case("source", targets).alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...], cap: int, base_rate: str | None, mark: Column) -> tuple[DataFrame, dict, dict]:
+    """``(doc_id, mark, source, size, copies, ...)`` of each row, and the tokens and targets of sources."""
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     base = F.coalesce(F.col(base_rate).cast("double"), F.lit(1.0)) if base_rate else F.lit(1.0)
-    rows = checkpointed(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), base.alias("base"), F.xxhash64(F.col(id_col)).alias("key")))
+    rows = checkpointed(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), base.alias("base"), F.xxhash64(F.col(id_col)).alias("key"), mark.alias("mark")))
     profile = checkpointed(rows.groupBy("source", "base", "size").agg(F.count("*").alias("n")))
     sizes = {r.source: int(r.tokens) for r in profile.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("tokens")).collect()}
     targets = token_targets(sizes, weights, cap)
@@ -150,8 +157,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     mixed = first
     for share in SHARES:
         mixed = checkpointed(_close(mixed, targets, cap, share))
-    numbers = {s: float(n) for s, n in sizes.items()}
-    return mixed.select("doc_id", "size", _case("source", numbers).cast("long").alias("source_size"), _case("source", targets).alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return mixed, sizes, targets
 
 
 def _close(rows: DataFrame, targets: dict[str | None, float], cap: int, share: int) -> DataFrame:
@@ -180,3 +186,20 @@ def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataF
     # the copy's number is dropped again: equal rows are the point
     numbered = joined.select(F.struct("d.*").alias("row"), times.alias("copy"))
     return numbered.select("row.*")
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as many times as ``mix`` takes this row, whatever other rows share its id.
+
+    Rows that share an id are told apart by a hash of all their columns; equal rows together give the sum of their copies.
+    """
+    mark = F.xxhash64(*docs.columns)
+    mixed, _, _ = _mixed(docs, id_col, text_col, source_col, WEIGHTS, CAP, None, mark)
+    counts = mixed.groupBy("doc_id", "mark").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), mark.alias("mark"))
+    if not counts.where("n > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "mark"])
+    joined = rows.alias("r").join(counts.where("copies > 0").alias("c"), F.expr("r.doc_id <=> c.doc_id AND r.mark = c.mark"))
+    # the copy's number is dropped again: equal rows are the point
+    numbered = joined.select("row", F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int"))).alias("copy"))
+    return numbered.select("row.*")

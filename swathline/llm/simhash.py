@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .textkit import Chunk, checkpointed, chunks
+from .textkit import Chunk, checkpointed, chunks, document_keys
 
 RADIUS = 2
 SHINGLE = 3
@@ -183,6 +183,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents whose class has a smaller id; rows with a null id stay."""
-    lost = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(lost, id_col, "left_anti")
+    """One row of ``docs`` for each class: that of the smallest id, null last, and of rows that share it the least hash of the text."""
+    keyed, ids = document_keys(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    if ids is None:
+        lost = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+        return docs.join(lost, id_col, "left_anti")
+    classes = near_duplicates(keyed.dropDuplicates(["key"]), "key").withColumnRenamed("doc_id", "key").join(ids, "key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
+    kept = classes.groupBy("component_id").agg(first).select("first.doc_id", "first.mark")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("mark"))
+    rows = rows.dropDuplicates(["doc_id", "mark"]).alias("r")
+    return rows.join(kept.alias("k"), F.expr("r.doc_id <=> k.doc_id AND r.mark = k.mark"), "left_semi").select("row.*")

@@ -190,7 +190,7 @@ def document_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
     The key is the id itself where ids are whole numbers, unique and not null; there is then no table of ids.  Otherwise each
     pair of id and text gets a key, in the order of ids (null first) and then of a hash of the text, so that repeated rows
-    share one, and ``(key, doc_id)`` comes with it.
+    share one, and ``(key, doc_id, mark)`` comes with it, with the hash as ``mark``.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     if docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
@@ -201,7 +201,7 @@ def document_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     pairs = docs.select("doc_id", "mark").distinct().repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark")
     keys = checkpointed(pairs.withColumn("key", F.monotonically_increasing_id()))
     joined = docs.alias("d").join(keys.alias("k"), F.expr("d.doc_id <=> k.doc_id AND d.mark = k.mark"))
-    return joined.select("k.key", "d.text"), keys.select("key", "doc_id")
+    return joined.select("k.key", "d.text"), keys.select("key", "doc_id", "mark")
 
 
 def with_ids(found: DataFrame, ids: DataFrame | None, kind: str, name: str = "doc_id") -> DataFrame:

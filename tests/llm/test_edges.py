@@ -70,3 +70,26 @@ def test_pipeline_stages_decide(spark):
             assert {i: kept.count(i) for i in set(kept)} == copies
         before = after
     assert corpus_pipeline.STAGES[-1][1](spark, before, folder).count() == len(kept)
+
+
+def test_pipeline_decides_by_row(spark, odd, tmp_path):
+    from collections import Counter
+
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    item = spark.createDataFrame([(1, "b c d e f g")], "item_id long, text string")
+    item.write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = stages["decontamination"](spark, odd, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, "other words of the same id"), (2, None)]
+    # the copies of one text leave one row, that of the smallest id; another text of that id is no copy
+    kept = stages["simhash"](spark, odd, "").collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, "a b c d e f g"), (1, "other words of the same id"), (2, "")]
+    rows = [(None, f"{'w ' * (5 + i)}n{i}", "en", "s", 0) for i in range(40)] + [(1, "x " * 30, "en", "s", 0)] * 10 + [(1, "y " * 30, "en", "t", 0)] * 40
+    docs = spark.createDataFrame(rows, odd.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    want, got = Counter(), Counter()
+    for r in mixing.mix(docs).collect():
+        want[r.doc_id, r.size] += r.copies
+    for r in stages["mixing"](spark, docs, "").collect():
+        got[r.doc_id, len(r.text.split())] += 1
+    assert {k: n for k, n in want.items() if n} == got and len(got) > 10
