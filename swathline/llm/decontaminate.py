@@ -195,11 +195,11 @@ def _joined_search(docs: DataFrame, items: DataFrame, table: DataFrame, sizes: l
     return rows.mapInArrow(verify, _OUT.format(kind=kind))
 
 
-def _search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame | None]:
-    """``(key, item, n_shared, n_item)`` by the keys of ``document_keys``, and their ids."""
-    kind = benchmark.schema[item_col].dataType.simpleString()
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    items = items.groupBy("item").agg(F.min("text").alias("text"))
+def _search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """``(key, item, n_shared, n_item)`` by the keys of ``document_keys`` and of distinct test texts, and the ids of both."""
+    rows = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL").distinct()
+    items = checkpointed(rows.select("text").distinct().select(F.monotonically_increasing_id().alias("item"), "text"))
+    names, kind = rows.join(items, "text").select("item", "item_id"), "bigint"
     table = checkpointed(item_signatures(items, threshold).distinct())
     weight = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] * 8 + table.count() * 64
     keyed, ids = document_keys(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
@@ -213,18 +213,20 @@ def _search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         found = _joined_search(keyed, items, table, sizes, threshold, kind)
     if found is None:
         found = docs.sparkSession.createDataFrame([], _OUT.format(kind=kind))
-    return found, ids
+    return found, ids, names
 
 
 def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``(doc_id, item_id, n_shared, n_item, containment)`` for each document and item it contains to ``threshold``.
 
-    Items without id or with fewer than five words are too short to tell and match nothing, as do null and empty texts.  Repeated
-    items and rows that repeat id and text count once; an id with several texts is found through any of them.
+    Items with fewer than five words are too short to tell and match nothing, as do null and empty texts.  Repeated
+    items and rows that repeat id and text count once; an id with several texts is found through any of them.  An item with
+    several texts is found through any of them as well, each with its own counts, and an item without id has a null ``item_id``.
     """
-    found, ids = _search(docs, benchmark, id_col, text_col, **options)
+    found, ids, names = _search(docs, benchmark, id_col, text_col, **options)
+    found = found.join(names, "item").drop("item")
     found = with_ids(found, ids, docs.schema[id_col].dataType.simpleString()).distinct()
-    return found.select("doc_id", F.col("item").alias("item_id"), "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+    return found.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -235,7 +237,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose own text contains no test item, whatever other rows share their id."""
-    found, ids = _search(docs, benchmark, id_col, text_col, **options)
+    found, ids, _ = _search(docs, benchmark, id_col, text_col, **options)
     if ids is None:
         return docs.join(found.select(F.col("key").cast(docs.schema[id_col].dataType).alias(id_col)).distinct(), id_col, "left_anti")
     hit = found.select("key").distinct().join(ids, "key")

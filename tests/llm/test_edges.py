@@ -93,3 +93,18 @@ def test_pipeline_decides_by_row(spark, odd, tmp_path):
     for r in stages["mixing"](spark, docs, "").collect():
         got[r.doc_id, len(r.text.split())] += 1
     assert {k: n for k, n in want.items() if n} == got and len(got) > 10
+
+
+def test_every_text_of_a_test_item_is_searched(spark):
+    from pyspark.sql import functions as F
+
+    texts = [" ".join(f"{c}{i}" for i in range(12)) for c in "abc"]
+    tests = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2]), (2, texts[1])], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"so {t} on") for i, t in enumerate(texts)] + [(3, "nothing of the kind is in here at all")], "doc_id long, text string")
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        found = decontaminate.contained(docs, tests, broadcast_bytes=limit)
+        assert {tuple(r) for r in found.select("doc_id", "item_id", "n_shared", "n_item").collect()} == {(0, 1, 8, 8), (1, 1, 8, 8), (1, 2, 8, 8), (2, None, 8, 8)}
+        for clean in (decontaminate.clean, decontaminate.clean_rows):
+            assert [r.doc_id for r in clean(docs, tests, broadcast_bytes=limit).collect()] == [3]
+    named = decontaminate.contained(docs, tests.withColumn("item_id", F.col("item_id").cast("string")))
+    assert {r.item_id for r in named.collect()} == {"1", "2", None}
