@@ -158,6 +158,12 @@ def first_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.candidates(_eligible(spark, sf_dir), 0.8, 50).select("item_id")
 
 
+@query(f"{_SCENES} SELECT item_id FROM g WHERE coverage >= 0.8 ORDER BY datetime_utc NULLS LAST, item_id")
+def all_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate in order; ``first_candidates`` is its head."""
+    return catalogue.candidates(_eligible(spark, sf_dir), 0.8).select("item_id")
+
+
 @query(f"{_SCENES}, r AS (SELECT o_orderkey AS item_id FROM orders WHERE o_orderkey % 5 = 0) SELECT item_id, EXISTS (SELECT 1 FROM e WHERE e.item_id = r.item_id) AS present FROM r")
 def requested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("item_id"))

@@ -147,3 +147,11 @@ def test_every_calibration_line_is_returned(spark):
     last = spark.read.parquet(f"{folder}/embeddings.parquet").agg(F.max("vec_id")).first()[0]
     counts = {r.row: r["count"] for r in QUERIES["lut_lines"](spark, folder).groupBy("row").count().collect()}
     assert counts == dict.fromkeys(range((last // 20 + 1) * 20 + 1), 64)
+
+
+def test_every_candidate_in_order(spark):
+    from swathline.plans.queries import QUERIES
+
+    whole, first = ([r.item_id for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect()] for name in ("all_candidates", "first_candidates"))
+    scenes = QUERIES["eligibility"](spark, "/root/testdata/sf0.001").where("eligible AND (item_id * 7919) % 1001 >= 800")
+    assert sorted(whole) == sorted(r.item_id for r in scenes.collect()) and len(whole) > 50 and whole[:50] == first
