@@ -166,8 +166,17 @@ def all_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_SCENES}, r AS (SELECT o_orderkey AS item_id FROM orders WHERE o_orderkey % 5 = 0) SELECT item_id, EXISTS (SELECT 1 FROM e WHERE e.item_id = r.item_id) AS present FROM r")
 def requested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("item_id"))
-    have = scenes(spark, sf_dir)
+    return _present(spark, sf_dir, table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0"))
+
+
+@query(f"{_SCENES}, r AS (SELECT o_orderkey AS item_id FROM orders) SELECT item_id, EXISTS (SELECT 1 FROM e WHERE e.item_id = r.item_id) AS present FROM r")
+def requested_all_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``requested_ids`` for every order key."""
+    return _present(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _present(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    wanted, have = orders.select(F.col("o_orderkey").alias("item_id")), scenes(spark, sf_dir)
     there = wanted.join(have, "item_id", "left_semi").withColumn("present", F.lit(True))
     return there.union(catalogue.absent(wanted, have).withColumn("present", F.lit(False)))
 

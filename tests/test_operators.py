@@ -155,3 +155,13 @@ def test_every_candidate_in_order(spark):
     whole, first = ([r.item_id for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect()] for name in ("all_candidates", "first_candidates"))
     scenes = QUERIES["eligibility"](spark, "/root/testdata/sf0.001").where("eligible AND (item_id * 7919) % 1001 >= 800")
     assert sorted(whole) == sorted(r.item_id for r in scenes.collect()) and len(whole) > 50 and whole[:50] == first
+
+
+def test_every_id_is_requested(spark):
+    from swathline.plans.inspections import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    orders, nations = (spark.read.parquet(f"{folder}/{name}.parquet").count() for name in ("orders", "nation"))
+    found = [r.present for r in QUERIES["requested_all_ids"](spark, folder).collect()]
+    assert len(found) == orders and set(found) == {True, False}
+    assert QUERIES["items_by_all_ids"](spark, folder).count() == nations
