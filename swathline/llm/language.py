@@ -17,9 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .textkit import checkpointed
 from .toxicity import remainder
 
 LONGEST = 4
@@ -27,6 +28,8 @@ BITS = 14
 LANDMARKS = 256
 #: Labelled documents a model is fitted on at most, those of least hash.
 SAMPLE = 2000
+#: Documents of each language that are learned besides, where the language has them.
+EACH = 20
 RIDGE = 1e-3
 BATCH = 64
 LETTER = re.compile(r"[^\W\d_]")
@@ -90,8 +93,20 @@ class Model:
         return named, np.where([n == UNKNOWN for n in named], 0.0, sure).astype(float)
 
 
+def _of_each(usable: DataFrame, most: int = EACH) -> DataFrame:
+    """``(doc_id)``: those of least hash of each language, at most ``most``."""
+    pairs = checkpointed(usable.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash")).distinct())
+    sizes = pairs.groupBy("lang").agg(F.count("*").alias("n"))
+    # a few times as many as wanted are below the limit, so no window holds a whole language
+    limit = F.lit(float(-(2**63))) + float(2**64) * F.least(F.lit(1.0), 4.0 * most / F.col("n"))
+    low = pairs.join(F.broadcast(sizes), "lang").where(F.col("hash").cast("double") <= limit)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
+    return low.withColumn("rank", rank).where(F.col("rank") <= most).select("doc_id")
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from rows with a language whose remainder by 4 isn't 2; at most ``sample``, those of least hash.
+    """A model from rows with a language whose remainder by 4 isn't 2: the ``sample`` of least hash, and the ``EACH`` of least hash of
+    every language, so that a rare one is learned too.  The languages are taken to be few (``EACH`` rows each reach the driver).
 
     Rows without id, text or language, and those without a letter, are not used.
     """
@@ -99,6 +114,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     learn = (F.col("lang").isNotNull()) & F.col("doc_id").isNotNull() & (remainder("doc_id", 4) != 2)
     # ids first: the sort then carries no texts
     chosen = usable.where(learn).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = chosen.union(_of_each(usable.where(learn & F.col("text").rlike(r"\p{L}")))).distinct()
     rows = usable.where(learn & F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang").collect()
     by_id = {r.doc_id: r for r in sorted(rows, key=lambda r: (r.doc_id, r.text, r.lang), reverse=True) if LETTER.search(r.text)}
     table = [by_id[i] for i in sorted(by_id)]

@@ -244,3 +244,12 @@ def test_redacted_counts(spark):
     docs = spark.createDataFrame([(1, "s", "en", "a1 22 b"), (2, "s", "en", "no digits"), (3, None, None, None)], "doc_id long, source string, lang string, text string")
     found = {(r.doc_id, r.version): (r.tokens, r.redacted) for r in rollup.measured(docs, {"w": rollup.WORD}, redacting="[0-9]+").collect()}
     assert found == {(1, "w"): (3, 2), (2, "w"): (2, 2), (3, "w"): (0, 0)}
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(4 * i, f"the house number {i} and the garden", "en") for i in range(2000)] + [(4 * i + 1, f"das Haus und der Garten mit Nummer {i}", "de") for i in range(2000)]
+    rows += [(100_001, "123", "xx"), (100_004, "zorp qwix zorp vlum", "xx"), (100_005, "vlum qwix zorp", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, sample=40)
+    assert model.languages == ["de", "en", "xx"]
+    assert model.predict(["qwix vlum zorp", "the garden", "der Garten"])[0] == ["xx", "en", "de"]
