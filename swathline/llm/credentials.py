@@ -32,12 +32,14 @@ CANDIDATE = re.compile(r"[A-Za-z0-9_-]{16,}")
 #: Families of credentials: prefix, alphabet and lengths, as their issuers publish them.  Fixed values.
 FAMILIES = {
     "github": (("ghp_", "gho_", "ghs_"), string.ascii_letters + string.digits, (36,)),
-    "slack": (("xoxb-", "xoxp-"), string.digits + string.ascii_lowercase + "-", (40, 48)),
+    "slack": (("xoxb-", "xoxp-"), string.digits + string.ascii_letters + "-", (40, 48)),
     "stripe": (("sk_live_", "rk_live_"), string.ascii_letters + string.digits, (24, 32)),
     "google": (("AIza",), string.ascii_letters + string.digits + "_-", (35,)),
     "gitlab": (("glpat-",), string.ascii_letters + string.digits + "_-", (20,)),
     "npm": (("npm_",), string.ascii_letters + string.digits, (36,)),
 }
+#: Where a credential can begin within a run; overlapping places are all found.
+PREFIX = re.compile("(?=" + "|".join(re.escape(p) for prefixes, _, _ in FAMILIES.values() for p in prefixes) + ")")
 KINDS = (*BASE_KINDS, *FAMILIES)
 EXAMPLES = 400
 ALPHA = 0.05
@@ -187,12 +189,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def grammar_spans(text: str) -> list[tuple[int, int, str]]:
+    """Runs that a grammar takes, from their start or else from the first later prefix, up to their end."""
     openings = _openings()
     found = []
     for m in CANDIDATE.finditer(text):
         token = m[0]
         if token[:1] in openings and (hit := classify(token)):
-            found.append((m.start(), m.start() + len(token), hit[0]))
+            found.append((m.start(), m.end(), hit[0]))
+            continue
+        for place in PREFIX.finditer(token, 1):
+            if hit := classify(token[place.start() :]):
+                found.append((m.start() + place.start(), m.end(), hit[0]))
+                break
     return found
 
 

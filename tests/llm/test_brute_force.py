@@ -253,3 +253,12 @@ def test_a_rare_language_is_learned(spark):
     model = language.train(docs, sample=40)
     assert model.languages == ["de", "en", "xx"]
     assert model.predict(["qwix vlum zorp", "the garden", "der Garten"])[0] == ["xx", "en", "de"]
+
+
+def test_credentials_glued_to_a_name_or_with_capitals():
+    token, slack = "ghp_" + "aB3" * 12, "xoxb-" + "-".join(("123456789012", "1234567890123", "aBcDeFgHiJkLmNoPqRsTuVwX"))[:48]
+    for text in (f"GITHUB_{token}", f"x-{token}.", f"a_{slack} b"):
+        start = min(i for i in (text.find(token), text.find(slack)) if i >= 0)
+        assert [(a, k) for a, _, k in credentials.grammar_spans(text)] == [(start, "slack" if slack in text else "github")]
+    assert credentials.grammar_spans(slack) == [(0, len(slack), "slack")]
+    assert not credentials.grammar_spans("my_very_long_identifier_of_words and ghp_short_names_of_words")
