@@ -8,39 +8,48 @@ page, and a filter on ids reads only the pages that hold them.
 A file row knows its part and the ids before it within the part; the parts' totals, one number a task, give the global
 position.
 
-Byte-level BPE works on pre-tokens that never span a single space followed by more text, so a text is split there and each
-distinct piece is encoded once while a worker remembers it; new pieces of a batch are encoded together.  Texts where a space meets other white space or the end are
-encoded whole.
+Byte-level BPE works on pre-tokens, and no pre-token spans the place where other text meets white space, or where an ASCII
+letter or digit meets ASCII punctuation.  Texts are cut there, each distinct piece of a batch is looked up once, and only pieces
+that are not remembered reach the tokenizer, many in one text; all else is Arrow and numpy on whole columns.
 """
 
 from __future__ import annotations
 
+import base64
 import functools
+import os
 import re
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textkit import shared_folder
+from .textkit import shared_folder, text_buffers
 
 END_ID = 0
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
-#: Pieces a worker remembers: the first it meets, among which the frequent ones are.
-REMEMBERED = 300_000
-#: Where more than this share of a batch is new, the texts have changed and the memory starts anew.
+#: Bytes of text encoded together (a longer document is encoded by itself).
+SLICE = 8 << 20
+#: Pieces a worker remembers, the first it meets, and the bytes of the longest one.
+REMEMBERED, LONGEST = 600_000, 64
+#: Where more than this share of a slice's pieces is new, the texts have changed and the memory starts anew.
 FORGET = 0.4
 #: Pieces encoded as one text.
-RUN = 2048
-#: How byte-level vocabularies write a space.
-SPACE = "\u0120"
+RUN = 4096
+#: How rank files' vocabularies split text, as published with them.  Fixed value.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_BYTES = np.arange(256)
+_SPACE = np.isin(_BYTES, [0x20, *range(0x09, 0x0E)])
+_ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+_PUNCT = np.array([0x20 < b < 0x7F and not chr(b).isalnum() for b in range(256)])
+_LISTS = pa.list_(pa.int32())
 WRITE_OPTIONS = {
     "parquet.block.size": str(ROW_GROUP),
     "parquet.page.size": str(PAGE),
@@ -51,58 +60,149 @@ WRITE_OPTIONS = {
 }
 
 
+def _after_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a white-space character outside of the ASCII six (or a separator control) ends just before each place."""
+    one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    wide = ((three == 0xE1) & (two == 0x9A) & (one == 0x80)) | ((three == 0xE2) & (two == 0x81) & (one == 0x9F)) | ((three == 0xE3) & (two == 0x80) & (one == 0x80))
+    wide |= (three == 0xE2) & (two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))
+    return wide | ((two == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((one >= 0x1C) & (one <= 0x1F))
+
+
+def cuts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places where pieces of the documents ``data[at[i]:at[i + 1]]`` begin."""
+    cut = np.zeros(len(data), bool)
+    space = _SPACE[data]
+    cut[1:] = (space[1:] & ~space[:-1]) | (_PUNCT[data[1:]] & _ALNUM[data[:-1]])
+    doubtful = np.flatnonzero(cut[1:] & (data[:-1] >= 0x1C) & ~_ALNUM[data[:-1]] & ~_PUNCT[data[:-1]]) + 1
+    cut[doubtful[_after_space(data, doubtful)]] = False
+    heads = at[:-1]
+    cut[heads[heads < len(data)]] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
-    """Texts to ids (as little-endian 32-bit bytes) with a ``tokenizers`` file."""
+    """Texts to lists of ids with a file of the ``tokenizers`` library, or with a rank file of ``tiktoken``."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        #: Whether an id's token begins with a space, which only the first of a piece does.
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces, a space before each: many in one text, whose ids are cut where a token begins with a space."""
-        known, special = self.known, self.special
-        odd = [p for p in pieces if special.search(p)]
-        known.update(zip(odd, self._ids([" " + p for p in odd]), strict=True))
-        plain = [p for p in pieces if p not in known] if odd else pieces
-        for run in (plain[i : i + RUN] for i in range(0, len(plain), RUN)):
-            ids = self._ids([" " + " ".join(run)])[0]
-            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, np.uint32)])).tolist()
-            if len(cuts) == len(run):
-                known.update(zip(run, map(ids.__getitem__, map(slice, cuts, [*cuts[1:], len(ids)])), strict=True))
-            else:
-                known.update(zip(run, self._ids([" " + p for p in run]), strict=True))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        split = [t.split(" ") for t in texts]
-        # the first piece of a text has no space before it
-        heads = [s.pop(0) for s in split]
-        new = set().union(*split).difference(known)
-        # a space before white space or the end joins it: such texts are encoded whole
-        joins = {p for p in new if not p or p[0].isspace()}
-        whole = {i for i, s in enumerate(split) if not joins.isdisjoint(s)} if joins else set()
-        if whole:
-            new = set().union(*(s for i, s in enumerate(split) if i not in whole)).difference(known)
-        self._learn(list(new))
-        get = known.__getitem__
-        begun = self._ids([texts[i] if i in whole else head for i, head in enumerate(heads)])
-        found = [ids if i in whole else ids + b"".join(map(get, s)) for i, (ids, s) in enumerate(zip(begun, split, strict=True))]
-        if len(new) > FORGET * sum(map(len, split)):
-            known.clear()
-        if len(known) > REMEMBERED:
-            for piece in new:
-                known.pop(piece, None)
-        return found
+        if path.endswith(".tiktoken"):
+            import tiktoken
+
+            with open(path, "rb") as file:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+            encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.splits, sizes = True, {rank: len(token) for token, rank in ranks.items()}
+            self._ids = lambda texts: [encoding.encode_ordinary(t) for t in texts]
+            self.special = None
+        else:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            tokenizer = Tokenizer.from_file(path)
+            added = tokenizer.get_added_tokens_decoder().values()
+            byte_level = isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and not tokenizer.pre_tokenizer.add_prefix_space and tokenizer.normalizer is None
+            #: Whether texts may be cut; files of another kind encode whole texts.
+            self.splits = byte_level and not any(t.rstrip or t.lstrip or t.single_word or any(c.isspace() for c in t.content) for t in added)
+            #: Added tokens are found before a text is split, so no cut may lie within one.
+            self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in added)) if added else None
+            #: A byte-level token has a character a byte.
+            sizes = {i: len(token) for token, i in tokenizer.get_vocab().items()}
+            self._ids = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.sizes = np.zeros(max(sizes) + 1, np.int64)
+        self.sizes[list(sizes)] = list(sizes.values())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.ids = pa.array([], pa.string()), pa.array([], _LISTS)
+
+    def _together(self, pieces: pa.StringArray, before: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of pieces encoded as one text, ``before`` in front of each, and how many each has; None where tokens don't end with the pieces."""
+        joined = pc.binary_join_element_wise(before, pieces, "") if before else pieces
+        data, at = text_buffers(joined)
+        ids = np.array(self._ids([data[at[0] : at[-1]].tobytes().decode()])[0], np.int32)
+        reached, ends = np.cumsum(self.sizes[ids]), at[1:] - at[0]
+        cut = np.searchsorted(reached, ends) + 1
+        if not len(ids) or cut[-1] != len(ids) or not np.array_equal(reached[cut - 1], ends):
+            return None
+        counts = np.diff(cut, prepend=0)
+        if before:
+            # it is a token by itself
+            keep = np.ones(len(ids), bool)
+            keep[cut - counts] = False
+            return ids[keep], counts - 1
+        return ids, counts
+
+    def _learn(self, new: pa.StringArray) -> pa.ListArray:
+        """The ids of distinct pieces.
+
+        Pieces that begin with white space can follow each other in a text; a line feed, which is a token by itself there, goes before
+        others that begin with an ASCII character.
+        """
+        data, at = text_buffers(new)
+        head = data[at[:-1]]
+        kind = np.where(_SPACE[head], 0, np.where(_ALNUM[head] | _PUNCT[head], 1, 2)) if self.splits else np.full(len(new), 2)
+        order, ids, counts = [], [np.zeros(0, np.int32)], []
+        for number, before in enumerate(("", "\n", None)):
+            places = np.flatnonzero(kind == number)
+            for run in (places[a : a + RUN] for a in range(0, len(places), RUN)):
+                pieces = new.take(pa.array(run))
+                found = self._together(pieces, before) if before is not None else None
+                if found is None:
+                    each = self._ids(pieces.to_pylist())
+                    found = np.array([i for x in each for i in x], np.int32), np.array([len(x) for x in each])
+                order.append(run)
+                ids.append(found[0])
+                counts.append(found[1])
+        if not order:
+            return pa.array([], _LISTS)
+        limits = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+        back = np.empty(len(new), np.int64)
+        back[np.concatenate(order)] = np.arange(len(new))
+        return pa.ListArray.from_arrays(pa.array(limits), pa.array(np.concatenate(ids))).take(pa.array(back))
+
+    def _cuts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        begin = cuts(data, at)
+        inside = [(m.start() + 1, m.end()) for m in self.special.finditer(data.tobytes())] if self.special else ()
+        if inside:
+            # the heads of documents stay, as a match may reach over the end of one
+            low, high = np.array(inside).T
+            within = np.searchsorted(low, begin, "right") > np.searchsorted(high, begin, "right")
+            begin = begin[~within | np.isin(begin, at)]
+        return begin
+
+    def encode_slice(self, data: np.ndarray, at: np.ndarray) -> pa.ListArray:
+        """The ids of each document ``data[at[i]:at[i + 1]]``, ``END_ID`` after them."""
+        begin = self._cuts(data, at) if self.splits else np.unique(at[:-1][np.diff(at) > 0])
+        limits = np.append(begin, len(data)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(begin), pa.py_buffer(limits), pa.py_buffer(data)).dictionary_encode()
+        distinct, places = pieces.dictionary, pieces.indices.to_numpy()
+        found = pc.index_in(distinct, value_set=self.known)
+        missing = found.is_null()
+        unknown = missing.to_numpy(zero_copy_only=False)
+        new = distinct.filter(missing)
+        learned = self._learn(new)
+        where = found.fill_null(0).to_numpy().copy()
+        where[unknown] = len(self.known) + np.arange(len(new))
+        lists = pa.concat_arrays([self.ids, learned, pa.array([[END_ID]], _LISTS)])
+        # documents' pieces, and a piece that ends each document
+        ends = np.searchsorted(begin, at)
+        taken = lists.take(pa.array(np.insert(where[places], ends[1:], len(lists) - 1)))
+        result = pa.ListArray.from_arrays(pa.array(taken.offsets.to_numpy()[ends + np.arange(len(at))]), taken.values)
+        times = np.bincount(places, minlength=len(distinct))
+        if times[unknown].sum() > FORGET * max(1, len(places)):
+            self._forget()
+        if len(self.known) < REMEMBERED:
+            short = pc.less_equal(pc.binary_length(new), LONGEST)
+            self.known, self.ids = pa.concat_arrays([self.known, new.filter(short)]), pa.concat_arrays([self.ids, learned.filter(short)])
+        return result
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, pa.ListArray]]:
+        """The lists of ids of a column's texts (null as empty), in slices, with the row of each slice's first."""
+        data, at = text_buffers(column)
+        row = 0
+        while row < len(at) - 1:
+            end = min(len(at) - 1, max(row + 1, int(np.searchsorted(at, at[row] + SLICE, "right")) - 1))
+            yield row, self.encode_slice(data[at[row] : at[end]], at[row : end + 1] - at[row])
+            row = end
 
 
 @functools.cache
@@ -110,20 +210,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _batches(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """Texts of about ``limit`` characters with the row of the first."""
-    at, texts, size = 0, [], 0
-    for row in range(len(column)):
-        text = column[row].as_py() or ""
-        texts.append(text)
-        size += len(text)
-        if size >= limit:
-            yield at, texts
-            at, texts, size = row + 1, [], 0
-    if texts:
-        yield at, texts
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write ``(doc_id, part, before, n_tokens, tokens)`` under ``path`` in ascending order of ids, null first.
 
@@ -133,14 +219,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for row, texts in _batches(batch.column(1)):
-                ids = [x + b"\0\0\0\0" for x in encoder(tokenizer).encode(texts)]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(counts)
-                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                columns = [batch.column(0).slice(row, len(texts)), pa.array([part] * len(texts), pa.int32()), pa.array(before + ends - counts), pa.array(counts), tokens]
+            for row, tokens in encoder(tokenizer).encode(batch.column(1)):
+                limits = tokens.offsets.to_numpy().astype(np.int64)
+                columns = [batch.column(0).slice(row, len(tokens)), pa.array(np.full(len(tokens), part, np.int32)), pa.array(before + limits[:-1]), pa.array(np.diff(limits)), tokens]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "before", "n_tokens", "tokens"])
-                before += int(ends[-1])
+                before += int(limits[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -166,7 +167,29 @@ def test_odd_spaces_encode_as_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
     texts = ["", " ", "a  b", "a \n b\n \nc ", "  lead", "x <|endoftext|> y<|endoftext|>", "don't  we'll x'll\n", "a\x1c b \x1cc", "1 2  3\t 4 \t5", "  x  y", "it's o'clock 'tis", "ab1c 2d"]
-    assert [list(array.array("I", x)) for x in tokenstore.Encoder(path).encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    texts += ["x\u00a0 y", "x \u00a0y\u3000 z", "\u2003 a\u2028\n b", "é, è; ç…, „a“, b—c, —", "a\n\n\nb.\n\n c!?\n'll 've", "x.\ny,'s", "\u0085 a", "\ufeff a", "日本 語、です ", "9's 1.5,2", "a\u200b b"]
+    coder = tokenstore.Encoder(path)
+    for _ in range(2):
+        found = [ids for _, part in coder.encode(pa.array(texts * 2)) for ids in part.to_pylist()]
+        assert found == [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts * 2]
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    plain = [t for t in texts if "endoftext" not in t]
+    assert [ids for _, part in tokenstore.Encoder(ranks).encode(pa.array(plain)) for ids in part.to_pylist()] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in plain]
+    words_only = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(words_only)
+    assert [ids for _, part in tokenstore.Encoder(words_only).encode(pa.array(plain)) for ids in part.to_pylist()] == [[*whole.encode(t, add_special_tokens=False).ids, 0] for t in plain]
+
+
+def test_random_texts_encode_as_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, draw = Tokenizer.from_file(path), np.random.default_rng(11)
+    signs = list("ab1 .,' \n\t-sé—\u00a0\u2009") + ["'s", "the", "  ", "日"]
+    texts = ["".join(draw.choice(signs, draw.integers(0, 30))) for _ in range(4000)]
+    found = [ids for _, part in tokenstore.Encoder(path).encode(pa.array(texts)) for ids in part.to_pylist()]
+    assert found == [[*e.ids, 0] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_rollup_is_idempotent(spark, documents):
