@@ -11,6 +11,8 @@ and finished with a mixer.  They depend on content alone, so all executors agree
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 from collections.abc import Iterator
@@ -169,6 +171,22 @@ def chunks(column: pa.Array, *, lower: bool = False, space: np.ndarray = _IS_SPA
         row = end
 
 
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda pad: None
+
+
+def released(batches: Iterator) -> Iterator:
+    """``batches``, with the memory that a worker's allocators keep handed back after each, as workers live on between tasks."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or where it is unset (tests) one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

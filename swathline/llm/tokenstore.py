@@ -30,15 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textkit import shared_folder, text_buffers
+from .textkit import released, shared_folder, text_buffers
 
 END_ID = 0
 ROW_GROUP = 16 << 20
 PAGE = 256 << 10
 #: Bytes of text encoded together (a longer document is encoded by itself).
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Pieces a worker remembers, the first it meets, and the bytes of the longest one.
-REMEMBERED, LONGEST = 600_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Where more than this share of a slice's pieces is new, the texts have changed and the memory starts anew.
 FORGET = 0.4
 #: Pieces encoded as one text.
@@ -219,7 +219,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for row, tokens in encoder(tokenizer).encode(batch.column(1)):
+            for row, tokens in released(encoder(tokenizer).encode(batch.column(1))):
                 limits = tokens.offsets.to_numpy().astype(np.int64)
                 columns = [batch.column(0).slice(row, len(tokens)), pa.array(np.full(len(tokens), part, np.int32)), pa.array(before + limits[:-1]), pa.array(np.diff(limits)), tokens]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "before", "n_tokens", "tokens"])
