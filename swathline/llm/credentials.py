@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textkit import released
+
 BASE_KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 #: Greedy runs, so a length in the pattern drops just the runs that are too short.
@@ -216,7 +218,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("base", pa.bool_())]))
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 rows = []

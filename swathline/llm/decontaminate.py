@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Chunk, checkpointed, chunks, document_keys, mix, with_ids
+from .textkit import Chunk, checkpointed, chunks, document_keys, mix, released, with_ids
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -79,7 +79,7 @@ def item_signatures(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     """``(item, size, signature)`` for ``items(item, text)``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for chunk in chunks(lowered(batch.column(1)), space=_SPACE):
                 words = chunk.word_hashes()
                 grams, whole = chunk.gram_hashes(words, SHINGLE), chunk.whole(SHINGLE)
@@ -155,7 +155,7 @@ def _broadcast_search(docs: DataFrame, items: list[tuple], table: list[tuple], t
             own = signature[maybe].view(np.int64)
             return maybe[keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] == own]
 
-        for batch in batches:
+        for batch in released(batches):
             out: list[list] = [[], [], [], []]
             for chunk in chunks(lowered(batch.column(1)), space=_SPACE):
                 near: dict[int, set] = defaultdict(set)
@@ -174,13 +174,13 @@ def _broadcast_search(docs: DataFrame, items: list[tuple], table: list[tuple], t
 
 def _joined_search(docs: DataFrame, items: DataFrame, table: DataFrame, sizes: list[int], threshold: float, kind: str) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for chunk in chunks(lowered(batch.column(1)), space=_SPACE):
                 for doc, signature in window_signatures(chunk, sizes, threshold, lambda s: slice(None)):
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc + chunk.row)), pa.array(signature.view(np.int64))], ["key", "signature"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             out: list[list] = [[], [], [], []]
             texts, tests = lowered(batch.column(1)), lowered(batch.column(3))
             for row in range(len(batch)):

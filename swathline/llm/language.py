@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textkit import checkpointed
+from .textkit import checkpointed, released
 from .toxicity import remainder
 
 LONGEST = 4
@@ -130,7 +130,7 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
     sent = docs.sparkSession.sparkContext.broadcast(model or train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, len(batch), BATCH):
                 part = batch.slice(at, BATCH)
                 names, sure = sent.value.predict([t.as_py() for t in part.column(1)])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Chunk, chunks
+from .textkit import Chunk, chunks, released
 
 WINDOW = 8
 _SYMBOL = np.zeros(256, bool)
@@ -95,7 +95,7 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id`` and the measurements (long) of each row's whole text; a null text is an empty one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for chunk in chunks(batch.column(1)):
                 found = measure(chunk)
                 ids = batch.column(0).slice(chunk.row, len(chunk))

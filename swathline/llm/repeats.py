@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Chunk, checkpointed, chunks, document_keys, mix, with_ids
+from .textkit import Chunk, checkpointed, chunks, document_keys, mix, released, with_ids
 
 WINDOW = 20
 ANCHOR = 6
@@ -155,7 +155,7 @@ def runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFra
     """``(anchor, context, key, start, n)`` for each run of windows of ``docs(key, text)``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             keys = batch.column(0)
             for chunk in chunks(batch.column(1)):
                 doc, start, count, grams, context = _runs(chunk, window, anchor)
@@ -171,7 +171,7 @@ def _words_of(window: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "context", "key", "start", "hot", "symbols"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64())]
-        for batch in batches:
+        for batch in released(batches):
             keys, asked = batch.column(0), batch.column(2)
             for chunk in chunks(batch.column(1)):
                 words = chunk.word_hashes()
@@ -207,7 +207,7 @@ def judge(shard: list[tuple[int, int, int, int, list[int]]], window: int = WINDO
 def _judged(window: int, shard_words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for batch in batches:
+            for batch in released(batches):
                 yield from zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
 
         def out(shard: list) -> pa.RecordBatch:
@@ -233,7 +233,7 @@ def _cut(window: int):
     """Rows (key, text, hits) to the result: hits are runs with the windows to remove."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             ids, hits = batch.column(0), batch.column(2)
             for chunk in chunks(batch.column(1)):
                 cover = np.zeros(len(chunk.starts) + window + 1, np.int32)

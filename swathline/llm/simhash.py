@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .textkit import Chunk, checkpointed, chunks, document_keys
+from .textkit import Chunk, checkpointed, chunks, document_keys, released
 
 RADIUS = 2
 SHINGLE = 3
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(doc_id, fingerprint)`` of each row, the fingerprint as a signed long; a text without words (or null) has 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = [fingerprints_of(c, shingle) for c in chunks(batch.column(1), lower=True)]
             if found:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found).view(np.int64))], ["doc_id", "fingerprint"])
@@ -113,7 +113,7 @@ def next_masks(mask: int, parts: int) -> list[int]:
 
 def _stars(radius: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             ends: tuple[list[int], list[int]] = ([], [])
             for members in batch.column(0).to_pylist():
                 tree, parent = BKTree(), list(range(len(members)))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 WORD = r"[^\x20\x09-\x0D]+"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

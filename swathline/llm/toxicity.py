@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .textkit import released
+
 #: Labelled documents a model is fitted on at most: those of least hash, so that the choice doesn't depend on order.
 SAMPLE = 6000
 #: Words of a sampled document that the lexicon counts once each; the lexicon keeps at most ``LEXICON`` of them.
@@ -211,7 +213,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.score([t.as_py() for t in part.column(1)]), pa.float64())], ["doc_id", "score"])
@@ -232,7 +234,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     place = docs.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
                 keep = sent.value.score([t.as_py() for t in part.column(place)]) < threshold
