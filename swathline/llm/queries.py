@@ -44,10 +44,13 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in; those labelled low in quality go; toxic ones are counted again without their digits; the deletes are replayed."""
+    """Tokens by two public vocabularies.  All documents come in; those labelled low in quality go; toxic ones are counted again without their digits; the deletes are replayed."""
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    counts = checkpointed(rollup.measured(docs.select("doc_id", "source", "lang", "text"), redacting="[0-9]+"))
+    import public_tokenizers
+
+    versions = {name: public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken")}
+    counts = checkpointed(rollup.token_counts(docs, versions, redacting="[0-9]+"))
     book = rollup.Rollup(spark)
     book.commit("1-load", rollup.inserts(counts))
     low = rollup.deletes(counts.join(marks.where("quality = 0"), "doc_id", "left_semi"))
@@ -96,13 +99,6 @@ dg AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS gram FROM (SE
 q AS (SELECT item_id, count(*) AS n_item FROM ig GROUP BY item_id),
 s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ig JOIN dg USING (gram) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shared, n_item FROM s JOIN q USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9""",
-    "op7_token_counts": rf"""
-WITH v AS (SELECT * FROM (VALUES ('words-1'), ('pieces-1')) AS t(version)),
-m AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
-d AS (SELECT doc_id, source, lang, CASE WHEN m.toxic = 1 THEN regexp_replace(text, '[0-9]+', '', 'g') ELSE text END AS text
-  FROM documents LEFT JOIN m USING (doc_id) WHERE m.quality IS NULL OR m.quality <> 0)
-SELECT source, lang, version, count(*) AS n_docs, CAST(sum(CASE version WHEN 'words-1' THEN len(regexp_extract_all(coalesce(text, ''), '{WORD}'))
-  ELSE len(regexp_extract_all(coalesce(text, ''), '{rollup.VERSIONS["pieces-1"]}')) END) AS BIGINT) AS n_tokens FROM d, v GROUP BY source, lang, version""",
     "op3_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
 g AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),

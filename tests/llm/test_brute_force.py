@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import base64
 import hashlib
 import re
 import zlib
@@ -316,3 +317,51 @@ def test_tokens_with_dots_slashes_and_equals():
     azure = next(t for t in credentials.labelled("azure", 1, seed=5))
     for text, token, kind in ((f"Bearer {jwt}.", jwt, "jwt"), (f"AccountKey={azure};", azure, "azure"), (f"x_{jwt} ", jwt, "jwt")):
         assert credentials.grammar_spans(text) == [(text.index(token), text.index(token) + len(token), kind)]
+
+
+def test_token_counts_by_tokenizer(spark, documents, rows, odd, empty):
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    names = ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken")
+    versions = {name: public_tokenizers.path(name) for name in names}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(versions[names[1]], "rb"))}
+    multi = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    first = Tokenizer.from_file(versions[names[0]])
+    plain = {names[0]: lambda t: len(first.encode(t, add_special_tokens=False).ids), names[1]: lambda t: len(multi.encode_ordinary(t))}
+    found = {(r.doc_id, r.version): (r.tokens, r.redacted) for r in rollup.token_counts(documents, versions, "[0-9]+").collect()}
+    assert found == {(r.doc_id, v): (f(r.text or ""), f(re.sub("[0-9]+", "", r.text or ""))) for r in rows for v, f in plain.items()}
+    assert rollup.token_counts(odd, versions).count() == 12 and rollup.token_counts(empty, versions).count() == 0
+
+
+def test_rollup_query_against_plain_sums(spark, tmp_path):
+    from collections import defaultdict
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from swathline.llm.queries import QUERIES
+
+    docs = [(1, "one 12 two", "en", "s"), (2, "zwei 34", "de", None), (3, None, None, "s"), (4, "four 4 four", "en", "s"), (4, "again 44", "en", "s"), (None, "no id 5", "en", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 0), (4, 1, 1), (4, None, 0), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    tokenizer, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), defaultdict(lambda: [0, 0])
+    for i, text, lang, source in docs:
+        if i != 1:
+            text = re.sub("[0-9]+", "", text) if i == 4 else text or ""
+            want[source, lang][0] += 1
+            want[source, lang][1] += len(tokenizer.encode(text, add_special_tokens=False).ids)
+    found = {(r.source, r.lang): [r.n_docs, r.n_tokens] for r in QUERIES["op7_token_counts"](spark, str(tmp_path)).where("version = 'byte_bpe_50k.json'").collect()}
+    assert found == want
+
+
+def test_compaction_keeps_the_committed_batches(spark, empty):
+    book = rollup.Rollup(spark)
+    assert book.totals().count() == 0 and book.commit("0", rollup.inserts(rollup.measured(empty))) and book.totals().count() == 0
+    rows = spark.createDataFrame([("s", None, "v", 5)], "source string, lang string, version string, tokens long")
+    assert book.commit("1", rollup.inserts(rows))
+    other = book.compact("all").compact("again")
+    assert not other.commit("1", rollup.inserts(rows)) and not other.commit("0", rollup.deletes(rows)) and not other.commit("all", rollup.inserts(rows))
+    assert other.commit("2", rollup.revisions(rows, rows.withColumn("tokens", rows.tokens + 2)))
+    assert [tuple(r) for r in other.totals().collect()] == [("s", None, "v", 1, 7)]
