@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,32 +40,40 @@ def words(text: str) -> list[str]:
     return TOKEN.findall(text)
 
 
+class Reading:
+    """What the features of a text need, whatever the lexicon: its words, and what is counted without one."""
+
+    def __init__(self, text: str | None):
+        text = text or ""
+        self.words = list(map(sys.intern, words(text.lower())))
+        second = [i for i, w in enumerate(self.words) if w in SECOND]
+        self.close = {j for i in second for j in range(i - NEAR, i + NEAR + 1)}
+        mixed = [w for w in self.words if not w.isalpha() and not w.isdigit()]
+        self.hidden = [w.translate(STAND_INS) for w in mixed]
+        n, chars = max(1, len(self.words)), max(1, len(text))
+        capitals = sum(map(str.isupper, text)) / chars if not text.islower() else 0.0
+        self.rates = [len(second) / n, capitals, text.count("!") / n, text.count("!!") / n, text.count("?") / n, len(mixed) / n]
+
+    def features(self, lexicon: dict[str, float]) -> list[float]:
+        n = max(1, len(self.words))
+        hits = [i for i, w in enumerate(self.words) if w in lexicon]
+        strong = sum(lexicon[self.words[i]] > 2 for i in hits)
+        near = sum(i in self.close for i in hits)
+        kinds = len({self.words[i] for i in hits})
+        hidden = sum(w in lexicon for w in self.hidden)
+        return [len(hits) / n, strong / n, float(kinds), float(bool(hits)), near / n, *self.rates, hidden / n, float(np.log1p(len(self.words)))]
+
+
 def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     """The dense features of a whole text; zeros where it is null or empty."""
-    text = text or ""
-    lower = text.lower()
-    found = words(lower)
-    n = max(1, len(found))
-    hits = [i for i, w in enumerate(found) if w in lexicon]
-    strong = sum(lexicon[found[i]] > 2 for i in hits)
-    second = [i for i, w in enumerate(found) if w in SECOND]
-    marks = set(second)
-    near = sum(any(j in marks for j in range(i - NEAR, i + NEAR + 1)) for i in hits)
-    mixed = [w for w in found if not w.isalpha() and not w.isdigit()]
-    hidden = sum(w.translate(STAND_INS) in lexicon for w in mixed)
-    chars = max(1, len(text))
-    return [
-        len(hits) / n, strong / n, float(len({found[i] for i in hits})), float(bool(hits)), near / n, len(second) / n,
-        sum(map(str.isupper, text)) / chars if not text.islower() else 0.0, text.count("!") / n, text.count("!!") / n, text.count("?") / n,
-        len(mixed) / n, hidden / n, float(np.log1p(len(found))),
-    ]
-
-
-def learn_lexicon(texts: list[str], labels: np.ndarray, size: int = LEXICON) -> dict[str, float]:
-    """Words that mark positive documents, with their log odds (add-one smoothed) over documents."""
+    return Reading(text).features(lexicon)
+
+
+def learn_lexicon(readings: list[Reading], labels: np.ndarray, size: int = LEXICON) -> dict[str, float]:
+    """Words that mark positive documents, with their log odds (add-one smoothed) over documents; of equal ones those first by code point."""
     with_word: tuple[Counter, Counter] = (Counter(), Counter())
-    for text, label in zip(texts, labels, strict=True):
-        with_word[int(label)].update(set(words(text.lower())))
+    for reading, label in zip(readings, labels, strict=True):
+        with_word[int(label)].update(set(reading.words))
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
     scored = {}
     for word, n in with_word[1].items():
@@ -164,17 +173,18 @@ class Model:
         labels = np.asarray(labels, float)
         if len(labels) < 20 or labels.min() == labels.max():
             return cls({}, None, np.zeros(0), np.zeros(0), float((labels.sum() + 1) / (len(labels) + 4)))
+        readings = list(map(Reading, texts))
+        table = lambda lexicon: np.array([r.features(lexicon) for r in readings])
         # calibration is fitted on margins of documents that the trees haven't seen
         fold = np.arange(len(labels)) % 3
         margins = np.zeros(len(labels))
         for k in range(3):
             rest = fold != k
-            lexicon = learn_lexicon([t for t, r in zip(texts, rest, strict=True) if r], labels[rest])
-            x = np.array([features(t, lexicon) for t in texts])
+            x = table(learn_lexicon([t for t, r in zip(readings, rest, strict=True) if r], labels[rest]))
             margins[~rest] = Trees.fit(x[rest], labels[rest]).margin(x[~rest])
         knots, values = isotonic(margins, labels)
-        lexicon = learn_lexicon(texts, labels)
-        return cls(lexicon, Trees.fit(np.array([features(t, lexicon) for t in texts]), labels), knots, values)
+        lexicon = learn_lexicon(readings, labels)
+        return cls(lexicon, Trees.fit(table(lexicon), labels), knots, values)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if not self.trees or not texts:
@@ -201,10 +211,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     order = F.xxhash64("doc_id")
     chosen = once.orderBy(order, "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-    # one text an id, in the order of ids; the sample's bound is also that of what comes to the driver
-    by_id = {r.doc_id: r for r in sorted(rows.collect(), key=lambda r: (r.doc_id, r.text), reverse=True)}
-    table = [by_id[i] for i in sorted(by_id)]
+    # one text an id, the least, so that the sample's bound is also that of the rows that come to the driver
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    table = sorted(rows.collect(), key=lambda r: r.doc_id)
     return Model.fit([r.text for r in table], np.array([r.label for r in table], float))
 
 
@@ -223,7 +232,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def predict(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for each row of ``docs``, repeated rows and null ids included."""
+    """``(doc_id, held_out, score, predicted)`` for each row of ``docs``, repeated rows and null ids included.
+
+    Empty documents give an empty table; without labels every score is a quarter.  Of equal splits the first feature's first wins.
+    """
     scored = score(docs, train(docs, labels, id_col=id_col, text_col=text_col), id_col, text_col)
     return scored.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
