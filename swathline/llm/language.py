@@ -3,11 +3,11 @@
 The blended-spectrum presence kernel of two texts is the number of character n-grams (n = 1 to ``LONGEST``) that both hold,
 over the geometric mean of the numbers each holds.  A kernel ridge regression of one language against the rest is
 solved in the Nystroem approximation: a text is described by its kernel with ``LANDMARKS`` texts, so the normal equations have
-that many unknowns whatever the sample.  n-grams are kept as bits of ``BITS``-bit hashes, which makes the kernel of a batch with the
-landmarks, and with that the score, one matrix product.
+that many unknowns whatever the sample.  n-grams are kept as ``BITS``-bit hashes, a text as the sorted list of those it holds, and the
+kernel of a batch with the landmarks, and with that the score, is one product of a sparse matrix and a dense one.
 
-As the kernel is linear in the presence bits, the landmarks' bits times the regression weights are multiplied once when a model
-is fitted; scoring a batch is then bits times that matrix, with the same result.
+As the kernel is linear in the presence bits, the landmarks' bits are multiplied by the regression weights once, when a model
+is fitted; scoring a batch is then its bits times that matrix, with the same result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from .textkit import checkpointed, released
 from .toxicity import remainder
 
 LONGEST = 4
-BITS = 14
+BITS = 18
 LANDMARKS = 256
 #: Labelled documents a model is fitted on at most, those of least hash.
 SAMPLE = 2000
@@ -36,27 +36,32 @@ LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
-def presence(text: str, out: np.ndarray, longest: int = LONGEST) -> None:
-    """Set the bits of the n-grams of a whole text, case folded, in ``out``."""
-    chars = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = np.zeros(len(chars), np.uint32)
+_HELD = np.zeros(1 << BITS, bool)
+
+
+def presence(text: str | None, longest: int = LONGEST) -> np.ndarray:
+    """The n-grams of a whole text, case folded, as distinct hashes in order."""
+    chars = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    code, held = np.zeros(len(chars), np.uint32), _HELD
     for n in range(1, min(longest, len(chars)) + 1):
         code = code[: len(chars) - n + 1] * np.uint32(0x01000193) + chars[n - 1 :]
         mixed = (code ^ np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
         mixed ^= mixed >> np.uint32(15)
-        out[(mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)] = True
+        held[(mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)] = True
+    found = np.flatnonzero(held)
+    held[found] = False
+    return found
 
 
-def bits(texts: list[str | None]) -> np.ndarray:
-    """The presence bits of each text, scaled to length one (a text without characters has none)."""
-    out = np.zeros((len(texts), 1 << BITS), bool)
-    for row, text in zip(out, texts, strict=True):
-        if text:
-            presence(text, row)
-    held = out.sum(axis=1, keepdims=True)
-    scaled = out.astype(np.float32)
-    scaled /= np.sqrt(np.maximum(held, 1), dtype=np.float32)
-    return scaled
+def product(rows: list[np.ndarray], matrix: np.ndarray) -> np.ndarray:
+    """The rows' presence bits, scaled to length one, times a dense matrix; a row without bits gives zeros."""
+    out = np.zeros((len(rows), matrix.shape[1]))
+    full = [i for i, row in enumerate(rows) if len(row)]
+    if full:
+        sizes = np.array([len(rows[i]) for i in full])
+        sums = np.add.reduceat(matrix[np.concatenate([rows[i] for i in full])], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0, dtype=float)
+        out[full] = sums / np.sqrt(sizes)[:, None]
+    return out
 
 
 class Model:
@@ -69,23 +74,34 @@ class Model:
         names = sorted(set(languages))
         if not names:
             return cls([UNKNOWN], np.zeros((1 << BITS, 1), np.float32))
-        x = bits(texts)
+        rows = list(map(presence, texts))
         # landmarks: the languages in turn, each in the order of the sample
         turn, seen = [], dict.fromkeys(names, 0)
         for name in languages:
             turn.append(seen[name])
             seen[name] += 1
         chosen = np.lexsort((np.arange(len(texts)), turn))[:landmarks]
-        marks = x[chosen]
-        kernel, own = (x @ marks.T).astype(float), (marks @ marks.T).astype(float)
+        marks = np.zeros((1 << BITS, len(chosen)), bool)
+        for k, row in enumerate(chosen):
+            marks[rows[row], k] = True
+        length = np.sqrt(np.maximum(1, marks.sum(axis=0)))
+        kernel = np.concatenate([product([row], marks) for row in rows]) / length
+        own = kernel[chosen]
         target = np.where(np.array(languages)[:, None] == np.array(names)[None], 1.0, -1.0)
         # a class counts as much as any other
         share = np.array([1 / (len(names) * seen[name]) for name in languages])[:, None]
         solved = np.linalg.solve(kernel.T @ (share * kernel) + ridge * own / len(names) + 1e-9 * np.eye(len(chosen)), kernel.T @ (share * target))
-        return cls(names, (marks.T @ solved.astype(np.float32)).astype(np.float32))
+        weights = np.zeros((1 << BITS, len(names)), np.float32)
+        for k, row in enumerate(chosen):
+            weights[rows[row]] += solved[k] / length[k]
+        return cls(names, weights)
+
+    def margins(self, texts: list[str | None]) -> np.ndarray:
+        return product(list(map(presence, texts)), self.weights)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        margins = bits(texts) @ self.weights
+        """Languages and scores; of equal margins the first language by code point wins."""
+        margins = self.margins(texts)
         odds = np.exp(4.0 * (margins - margins.max(axis=1, keepdims=True)))
         best = margins.argmax(axis=1)
         sure = odds[np.arange(len(texts)), best] / odds.sum(axis=1)
@@ -115,16 +131,16 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     # ids first: the sort then carries no texts
     chosen = usable.where(learn).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = chosen.union(_of_each(usable.where(learn & F.col("text").rlike(r"\p{L}")))).distinct()
-    rows = usable.where(learn & F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang").collect()
-    by_id = {r.doc_id: r for r in sorted(rows, key=lambda r: (r.doc_id, r.text, r.lang), reverse=True) if LETTER.search(r.text)}
-    table = [by_id[i] for i in sorted(by_id)]
+    # one text an id, the least with a letter
+    wanted = usable.where(learn & F.col("text").rlike(r"\p{L}")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("r"))
+    table = [r for r in sorted(wanted.select("doc_id", "r.*").collect(), key=lambda r: r.doc_id) if LETTER.search(r.text)]
     return Model.fit([r.text for r in table], [r.lang for r in table])
 
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` for each row of ``docs``.
 
-    A null text, or one without a letter, is ``und`` with score 0.  Repeated rows give repeated results; a null id is kept
+    An empty table gives an empty one; without any language to learn all are ``und``.  A null text, or one without a letter, is ``und`` with score 0.  Repeated rows give repeated results; a null id is kept
     and counts as not held out.  Languages of the model come from its labels, never from the row predicted.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model or train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col))
