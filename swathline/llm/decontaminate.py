@@ -10,7 +10,7 @@ candidate pair is verified by exact containment of the item's shingles in the wh
 
 Where the benchmark's signatures and texts are within ``BROADCAST_BYTES``, they are sent to all tasks, and documents are
 searched and verified where they are read, without a shuffle.  A larger benchmark is joined by signature and verified
-after joins by document and item.
+after joins by document and item; of the windows' signatures just those that pass a filter of the benchmark's are shuffled.
 """
 
 from __future__ import annotations
@@ -40,9 +40,9 @@ NOT_WORD = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 _WORD = re.compile(f"[^{NOT_WORD}]+")
 _SPACE = np.zeros(256, bool)
 _SPACE[[b for b in range(128) if not chr(b).isalnum()]] = True
-_MAX_HASHES = 512
-_DRAW = np.random.default_rng(77)
-_FACTORS = _DRAW.integers(0, 2**63, _MAX_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bits of the filter that goes to all tasks where the benchmark itself is too large for it (16 MB).
+WIDE_BITS = 27
+_FACTORS = np.random.default_rng(77).integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(text: str | None, n: int = SHINGLE) -> set[str]:
@@ -66,9 +66,15 @@ def stride(size: int) -> int:
 
 
 def hashes_for(size: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """How many hash functions find half the threshold's share of the class's smallest item with probability ``recall``."""
+    """How many hash functions find half the threshold's share of the class's smallest item with probability ``recall``.
+
+    A threshold so low, or a recall so high, that it takes more functions than there are is an error.
+    """
     shared = threshold / 2 * size
-    return min(_MAX_HASHES, math.ceil(math.log(1 - recall) / math.log(1 - shared / (2 * stride(size) + size - shared))))
+    needed = math.ceil(math.log(1 - recall) / math.log(1 - shared / (2 * stride(size) + size - shared)))
+    if needed > len(_FACTORS):
+        raise ValueError(f"a threshold of {threshold} needs {needed} hash functions; there are {len(_FACTORS)}")
+    return needed
 
 
 def _signature(minimum: np.ndarray, size: int, k: int) -> np.ndarray:
@@ -173,10 +179,23 @@ def _broadcast_search(docs: DataFrame, items: list[tuple], table: list[tuple], t
 
 
 def _joined_search(docs: DataFrame, items: DataFrame, table: DataFrame, sizes: list[int], threshold: float, kind: str) -> DataFrame:
+    # of a bounded size whatever the benchmark's: a bit for each value of a signature's first bits
+    place = F.shiftrightunsigned("signature", 64 - WIDE_BITS)
+    words = table.groupBy(F.shiftright(place, 3).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, CAST(shiftrightunsigned(signature, {64 - WIDE_BITS}) & 7 AS INT))")).alias("bits")).toArrow()
+    light = np.zeros(1 << (WIDE_BITS - 3), np.uint8)
+    light[words["word"].to_numpy()] = words["bits"].to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(light)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        light = sent.value
+
+        def passes(signature: np.ndarray) -> np.ndarray:
+            at = signature >> np.uint64(64 - WIDE_BITS)
+            return np.flatnonzero(light[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+
         for batch in released(batches):
             for chunk in chunks(lowered(batch.column(1)), space=_SPACE):
-                for doc, signature in window_signatures(chunk, sizes, threshold, lambda s: slice(None)):
+                for doc, signature in window_signatures(chunk, sizes, threshold, passes):
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc + chunk.row)), pa.array(signature.view(np.int64))], ["key", "signature"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +238,7 @@ def _search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``(doc_id, item_id, n_shared, n_item, containment)`` for each document and item it contains to ``threshold``.
 
-    Items with fewer than five words are too short to tell and match nothing, as do null and empty texts.  Repeated
+    An empty table of either kind gives no rows.  Items with fewer than five words are too short to tell and match nothing, as do null and empty texts.  Repeated
     items and rows that repeat id and text count once; an id with several texts is found through any of them.  An item with
     several texts is found through any of them as well, each with its own counts, and an item without id has a null ``item_id``.
     """
