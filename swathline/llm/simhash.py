@@ -4,9 +4,9 @@ Fingerprints that differ in few bits must agree in some block of bits (pigeonhol
 dealt to shards by block.  Each shard is one BK-tree: a child hangs on the edge that carries its integer Hamming
 distance to the parent, and a search follows only the edges within the radius of the distance at hand.  A shard with
 more than ``SHARD`` fingerprints is dealt again by blocks of its remaining bits; after the last level a shard is
-bounded by the number of values of the bits that are left (4,096).  Hence every tree has a proven bound whatever the
-data, and no fingerprint table passes through the driver: a tree reaches its searches through the shuffle of its shard
-instead of one broadcast of all trees.
+bounded by the number of values of the ten bits that are left at most (1,024).  Hence every tree has a proven bound whatever the
+data.  A broadcast is built from what the driver holds, and all trees together hold every fingerprint, so a tree reaches its
+searches through the shuffle of its shard instead.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from .textkit import Chunk, checkpointed, chunks, document_keys, released
 RADIUS = 2
 SHINGLE = 3
 SHARD = 1024
-LEVELS = 4
+LEVELS = 5
 
 
 class BKTree:
