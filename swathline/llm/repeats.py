@@ -276,8 +276,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, h
     if not several.where(F.col("contexts") > hot).isEmpty():
         single = words.where("hot").select("anchor", "context", "key", "start", F.posexplode("symbols").alias("i", "window"))
         at = F.struct("key", (F.col("start") + F.col("i")).alias("at"))
-        earliest = single.groupBy("window").agg(F.min(at).alias("earliest"))
-        later = single.join(earliest, "window").where(at != F.col("earliest"))
+        earliest = single.groupBy("anchor", "window").agg(F.min(at).alias("earliest"))
+        later = single.join(earliest, ["anchor", "window"]).where(at != F.col("earliest"))
         masks = masks.union(later.groupBy("anchor", "context").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")))
     # both sides are plain exchanges of written tables, so a context of many copies can be split; firsts are one a context
     place_of = F.struct("key", "start")
@@ -290,7 +290,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, h
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256)``, one row for each row of ``docs``.
 
-    Null and empty texts have no words and the digest of an empty string.  Rows that repeat both id and text count as one
+    An empty table gives an empty one.  Null and empty texts have no words and the digest of an empty string.  Rows that repeat both id and text count as one
     document and get equal results; an id that comes with several texts, or a null id, names several documents, ordered by
     a hash of the text.  Other columns of ``docs`` are not read.  Any window length to 63 more than an anchor's works.
     """
