@@ -14,6 +14,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import os
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -188,9 +189,11 @@ def released(batches: Iterator) -> Iterator:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or where it is unset (tests) one of our own."""
+    """The folder all executors share: ``spark.checkpoint.dir``.  Where it is unset, a local session has one of its own; a cluster has none, which is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), f"swathline-{spark.sparkContext.applicationId}")
     return folder.rstrip("/")
 

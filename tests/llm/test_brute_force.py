@@ -365,3 +365,130 @@ def test_compaction_keeps_the_committed_batches(spark, empty):
     assert not other.commit("1", rollup.inserts(rows)) and not other.commit("0", rollup.deletes(rows)) and not other.commit("all", rollup.inserts(rows))
     assert other.commit("2", rollup.revisions(rows, rows.withColumn("tokens", rows.tokens + 2)))
     assert [tuple(r) for r in other.totals().collect()] == [("s", None, "v", 1, 7)]
+
+
+def test_presence_kernel_and_exact_ridge():
+    texts = ["the house and the garden", "das Haus und der Garten", "la maison et le jardin", "the old house", "der alte Garten", "le vieux jardin", "a house"]
+    names = ["en", "de", "fr", "en", "de", "fr", "en"]
+    grams = [{t.lower()[i : i + n] for n in range(1, 5) for i in range(len(t) - n + 1)} for t in texts]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in grams] for a in grams])
+    found = [language.presence(t) for t in texts]
+    assert [len(f) for f in found] == [len(g) for g in grams]
+    assert np.allclose([[len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b)) for b in found] for a in found], kernel)
+    # with every text as a landmark the approximation is kernel ridge regression itself: (share K + ridge / languages) c = share y
+    target = np.where(np.array(names)[:, None] == np.array(["de", "en", "fr"])[None], 1.0, -1.0)
+    share = np.diag([1 / (3 * names.count(n)) for n in names])
+    exact = kernel @ np.linalg.solve(share @ kernel + language.RIDGE / 3 * np.eye(len(texts)), share @ target)
+    model = language.Model.fit(texts, names, landmarks=len(texts))
+    assert model.languages == ["de", "en", "fr"] and np.allclose(model.margins(texts), exact, atol=1e-4)
+
+
+def test_long_texts_keep_their_language():
+    draw = np.random.default_rng(2)
+    word = lambda letters: "".join(draw.choice(list(letters), draw.integers(3, 9)))
+    text = lambda letters, n: " ".join(word(letters) for _ in range(n))
+    alphabets = {"x": "abcdefghij", "y": "fghijklmno"}
+    model = language.Model.fit([text(a, 60) for a in alphabets.values() for _ in range(40)], [n for n in alphabets for _ in range(40)])
+    for name, letters in alphabets.items():
+        assert model.predict([text(letters, 20_000)])[0] == [name]
+        assert len(language.presence(text(letters, 20_000))) < 0.5 * (1 << language.BITS)
+
+
+def test_language_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, None)], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in language.identify(docs).collect()] == [("und", 0.0)] * 2
+
+
+def test_tree_split_and_isotonic_fit_against_plain_search():
+    draw = np.random.default_rng(4)
+    x = draw.integers(0, 6, (60, 2)).astype(float)
+    y = (x[:, 1] > 2).astype(float)
+    y[:6] = 1 - y[:6]
+    tree = toxicity.Trees.fit(x, y, trees=1, depth=1, rate=1.0, least=1.0)
+    p = y.mean()
+    best = None
+    for k in range(2):
+        for cut in sorted(set(x[:, k]))[:-1]:
+            under = x[:, k] <= cut
+            gain = sum((y[m] - p).sum() ** 2 / (m.sum() * p * (1 - p) + 1) for m in (under, ~under))
+            best = max(best or (gain, -k, -cut), (gain, -k, -cut))
+    under = x[:, -best[1]] <= -best[2]
+    want = np.where(under, *((y[m] - p).sum() / (m.sum() * p * (1 - p) + 1) for m in (under, ~under))) + np.log(p / (1 - p))
+    assert np.allclose(tree.margin(x), want)
+    margins = draw.integers(0, 8, 40).astype(float)
+    labels = (draw.random(40) < margins / 8).astype(float)
+    knots, values = toxicity.isotonic(margins, labels)
+    points = sorted(set(margins))
+    of = [labels[margins == v] for v in points]
+    fitted = [max(min(np.concatenate(of[a : b + 1]).mean() for b in range(i, len(points))) for a in range(i + 1)) for i in range(len(points))]
+    assert np.allclose(np.interp(points, knots, values), fitted)
+
+
+def test_toxicity_without_labels(spark, documents):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {(r.score, r.predicted) for r in toxicity.predict(documents, labels).collect()} == {(0.25, 0)}
+
+
+def test_mix_does_not_depend_on_partitions(documents):
+    first, second = ({r.doc_id: r.copies for r in mixing.mix(documents.repartition(n)).collect()} for n in (1, 7))
+    assert first == second
+
+
+def test_item_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "so a b c d e f on")], "doc_id int, text string")
+    for kind in ("smallint", "decimal(5,1)", "date", "string"):
+        value = "DATE '2020-01-02'" if kind == "date" else "7"
+        tests = spark.sql(f"SELECT CAST({value} AS {kind}) AS item_id, 'a b c d e f' AS text")
+        for limit in (decontaminate.BROADCAST_BYTES, 0):
+            found = decontaminate.contained(docs, tests, broadcast_bytes=limit)
+            assert found.schema["item_id"].dataType.simpleString() == kind and found.count() == 1
+    assert decontaminate.contained(docs, tests.limit(0)).count() == 0
+
+
+def test_hash_functions_meet_the_recall():
+    for size in (1, 2, 16, 256, 4096):
+        shared = decontaminate.THRESHOLD / 2 * size
+        likeness = shared / (2 * decontaminate.stride(size) + size - shared)
+        assert 1 - (1 - likeness) ** decontaminate.hashes_for(size) >= decontaminate.RECALL
+    with pytest.raises(ValueError):
+        decontaminate.hashes_for(1, threshold=0.01)
+
+
+def test_encodings_row_groups_and_selective_reads(spark, documents, tmp_path):
+    import glob
+
+    import public_tokenizers
+    import pyarrow.parquet as pq
+
+    folder = str(tmp_path / "tokens")
+    tokenstore.write_tokens(documents, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    for file in glob.glob(f"{folder}/*.parquet"):
+        data = pq.ParquetFile(file).metadata
+        for group in range(data.num_row_groups):
+            columns = [data.row_group(group).column(i) for i in range(data.num_columns)]
+            assert data.row_group(group).total_byte_size <= 2 * tokenstore.ROW_GROUP
+            tokens = next(c for c in columns if c.path_in_schema.startswith("tokens"))
+            assert {"RLE_DICTIONARY", "DELTA_BINARY_PACKED"} & set(tokens.encodings)
+            assert all(c.has_column_index and c.has_offset_index for c in columns if c.path_in_schema == "doc_id")
+    some = tokenstore.token_range(spark, folder, 7000, 7004)
+    whole = {r.doc_id: r for r in tokenstore.positions(spark, folder).collect()}
+    assert {r.doc_id: r for r in some.collect()} == {i: whole[i] for i in range(7000, 7005)}
+    plan = some._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(doc_id,7000)" in plan
+    counts = spark.read.parquet(folder).groupBy("part").sum("n_tokens")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<part:int,n_tokens:bigint>" in counts
+
+
+def test_the_shared_folder_of_a_cluster_must_be_named():
+    from types import SimpleNamespace
+
+    from swathline.llm.textkit import shared_folder
+
+    def session(master, folder):
+        conf = SimpleNamespace(get=lambda name, default=None: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="a", getConf=lambda: conf))
+
+    assert shared_folder(session("spark://h:1", "s3a://b/c/")) == "s3a://b/c" and "swathline-a" in shared_folder(session("local[4]", None))
+    for master in ("spark://h:1", "local-cluster[3,2,1000]", "yarn"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master, None))
