@@ -31,9 +31,18 @@ def power(magnitude: Column) -> Column:
 
 
 def noise(legacy: Column, ranged: Column, azimuth: Column) -> Column:
-    """One noise value: the legacy table, or range times azimuth (range alone is an error)."""
-    product = single(ranged.cast("double") * azimuth.cast("double"))
-    return F.when(legacy.isNotNull() & (ranged.isNotNull() | azimuth.isNotNull()), F.raise_error(F.lit("legacy noise excludes range and azimuth noise"))).when(legacy.isNotNull(), legacy).otherwise(product)
+    """One noise value: the legacy table, or range times azimuth.
+
+    Both kinds at once, range without azimuth, azimuth without range, none at all, and a value that is negative or not finite are errors.
+    """
+    fault = lambda why: F.raise_error(F.lit(why)).cast("double")
+    value = (
+        F.when(legacy.isNotNull() & (ranged.isNotNull() | azimuth.isNotNull()), fault("legacy noise excludes range and azimuth noise"))
+        .when(legacy.isNotNull(), legacy.cast("double"))
+        .when(ranged.isNull() | azimuth.isNull(), fault("noise needs a legacy value, or range and azimuth values"))
+        .otherwise(ranged.cast("double") * azimuth.cast("double"))
+    )
+    return single(F.when(finite(value) & (value >= 0), value).otherwise(fault("noise is negative or not finite")))
 
 
 def subtracts_noise(corrected: Column, policy: str) -> Column:

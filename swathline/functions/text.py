@@ -55,10 +55,16 @@ def tile_epsg(name: Column) -> Column:
     return F.when(F.substring(name, 3, 1) >= "N", 32600).otherwise(32700) + tile_zone(name)
 
 
-def acquisition_key(*parts: Column) -> Column:
-    """Parts joined by bars; what is null, blank or a zero number is ``missing``."""
-    texts = [F.coalesce(F.nullif(F.nullif(p.cast("string"), F.lit("")), F.lit("0")), F.lit("missing")) for p in parts]
-    return F.concat_ws("|", *texts)
+def iso(value: Column) -> Column:
+    """A timestamp as ISO text in UTC with ``Z``; a fraction of a second only where there is one."""
+    fraction = F.date_format(value, "SSSSSS")
+    return F.concat(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(""), F.lit("Z"))
+
+
+def acquisition_key(platform: Column, start: Column, end: Column, mode: Column, orbit: Column, polarisations: Column) -> Column:
+    """Platform, whole start and end times, mode, absolute orbit and polarisations joined by bars; what is null, blank or orbit 0 is ``missing``."""
+    parts = (platform, iso(start), iso(end), mode, F.nullif(orbit, F.lit(0)).cast("string"), F.array_join(polarisations, "+"))
+    return F.concat_ws("|", *[F.coalesce(F.nullif(p, F.lit("")), F.lit("missing")) for p in parts])
 
 
 def missing_or(value: Column) -> Column:
@@ -79,6 +85,67 @@ def thresholds(text: str) -> list[float]:
     return found
 
 
+def with_threshold(values: list[float], extra: float) -> list[float]:
+    """Thresholds with one more, in order, each once."""
+    return sorted({*values, extra})
+
+
 def distance_micros(later: Column, earlier: Column) -> Column:
     """Microseconds between two timestamps without zone."""
     return F.timestamp_diff("MICROSECOND", earlier, later)
+
+
+def upper_list(values: Column) -> Column:
+    """Upper case alone: nothing is trimmed, dropped or sorted; null gives an empty list."""
+    return F.coalesce(F.transform(values, F.upper), F.array().cast("array<string>"))
+
+
+def tile_parts(name: Column) -> Column:
+    """``struct<zone int, band, square>`` of a tile name; any other text is an error."""
+    good = tile(name)
+    checked = F.when(good.rlike("^[0-9]{2}[A-Z]{3}$"), good).otherwise(F.raise_error(F.concat(F.lit("not a tile: "), F.coalesce(name, F.lit("null")))).cast("string"))
+    return F.struct(F.substring(checked, 1, 2).cast("int").alias("zone"), F.substring(checked, 3, 1).alias("band"), F.substring(checked, 4, 2).alias("square"))
+
+
+def report_tile(*candidates: Column, path: Column) -> Column:
+    """The first candidate that is a tile with its T, else what stands before the first underscore in the name of the path's folder; null if that is none."""
+    folder = F.substring_index(F.regexp_extract(path, "([^/]*)/[^/]*$", 1), "_", 1)
+    upper = [F.upper(F.trim(c)) for c in (*candidates, folder)]
+    return F.coalesce(*[F.when(c.rlike("^T[0-9]{2}[A-Z]{3}$"), c) for c in upper])
+
+
+def optional_integer(value: Column) -> Column:
+    """Text of a whole number as that number; anything else is null.  Numbers go through ``truncated``."""
+    return F.trim(value).try_cast("bigint")
+
+
+def truncated(value: Column) -> Column:
+    """A number without its fraction; null and what isn't finite are null."""
+    return F.when(~F.isnan(value.cast("double")), value).try_cast("bigint")
+
+
+def datetime_or_null(value: Column) -> Column:
+    """A time from ISO text with or without ``Z``; null where it is none."""
+    return F.try_to_timestamp(F.trim(value))
+
+
+def nanoseconds(value: Column) -> Column:
+    """ISO text as nanoseconds since 1970, as array bundles hold times: all nine digits count, blank is null and any other text is an error."""
+    bare = F.regexp_replace(F.trim(value), "Z$", "")
+    whole, fraction = F.substring_index(bare, ".", 1), F.regexp_extract(bare, r"\.([0-9]{1,9})$", 1)
+    seconds = F.unix_micros(F.to_timestamp(F.replace(whole, F.lit("T"), F.lit(" ")), "yyyy-MM-dd HH:mm:ss")) * 1000
+    return F.when(bare != "", seconds + F.rpad(fraction, 9, "0").cast("bigint"))
+
+
+def vsi_path(href: Column) -> Column:
+    """``s3://bucket/key`` as the raster library's path; any other text stays."""
+    return F.regexp_replace(href, "^s3://", "/vsis3/")
+
+
+def href_of(path: Column) -> Column:
+    """The reverse of ``vsi_path``."""
+    return F.regexp_replace(path, "^/vsis3/", "s3://")
+
+
+def percentage_points(fraction: Column) -> Column:
+    return fraction * 100.0

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swathline.functions.text import blank_to_null
 
+from .jobs import numbered
+
 #: Documents of each polarisation, and the asset every scene has.  Fixed values.
 SCHEMAS = ("product", "calibration", "noise")
 MANIFEST = "safe-manifest"
@@ -124,8 +126,8 @@ def best_window(windows: DataFrame, anchors: int = ANCHORS, enough: float = ENOU
 
 
 def ranked(rows: DataFrame, *order: Column | str) -> DataFrame:
-    """``rank`` from 0 over a bounded table."""
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)) - 1)
+    """``rank`` from 0."""
+    return numbered(rows, *order, name="rank").withColumn("rank", F.col("rank").cast("int"))
 
 
 def violations(rows: DataFrame, pairs: dict[str, tuple[Column, Column, float, float]]) -> DataFrame:

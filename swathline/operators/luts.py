@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .jobs import numbered
+
 
 def increasing(values: Column) -> Column:
     """Whether an array is strictly increasing."""
@@ -31,6 +33,23 @@ def faults(vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return vectors.withColumn("reason", reason).where("reason IS NOT NULL")
 
 
+def checked(vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``vectors``, where a broken rule is an error."""
+    wrong = faults(vectors, by).agg(F.min("reason").alias("reason"))
+    stop = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason")).cast("boolean"))
+    return vectors.crossJoin(F.broadcast(wrong.select(stop.alias("_stop")))).where("_stop IS NULL").drop("_stop")
+
+
+def window(vectors: DataFrame, rows: tuple[int, int], samples: tuple[int, int], by: Sequence[str] = ()) -> DataFrame:
+    """``(row, values)`` for the rows and samples ``[start, stop)`` of each raster; vectors that don't cover them are an error, as nothing is extrapolated."""
+    reach = vectors.groupBy(*by).agg(F.min("line").alias("top"), F.max("line").alias("bottom"), F.max(F.get("pixels", F.lit(0))).alias("left"), F.min(F.element_at("pixels", -1)).alias("right"))
+    covered = (F.col("top") <= rows[0]) & (F.col("bottom") >= rows[1] - 1) & (F.col("left") <= samples[0]) & (F.col("right") >= samples[1] - 1)
+    reach = reach.select(*by, F.when(~covered, F.raise_error(F.lit("the vectors do not cover the window")).cast("boolean")).alias("_stop"))
+    bounded = vectors.join(F.broadcast(reach), list(by)) if by else vectors.crossJoin(F.broadcast(reach))
+    found = interpolated(bounded.where("_stop IS NULL").drop("_stop"), samples[1], by)
+    return found.where((F.col("row") >= rows[0]) & (F.col("row") < rows[1])).withColumn("values", F.slice("values", samples[0] + 1, samples[1] - samples[0]))
+
+
 def knots(vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Segments between neighbouring samples of each vector."""
     rows = vectors.select(*by, "line", F.posexplode(F.arrays_zip("pixels", "lut")).alias("at", "k"), "pixels", "lut")
@@ -98,11 +117,31 @@ def azimuth(sections: DataFrame, rows: DataFrame, by: Sequence[str] = ()) -> Dat
     return inside.select(*by, "row", "first_sample", "last_sample", F.when(covered, lerp(F.get("lut", at), F.coalesce(F.get("lut", at + 1), F.get("lut", at)), weight)).alias("value"))
 
 
+def azimuth_lines(sections: DataFrame, rows: tuple[int, int], samples: tuple[int, int], by: Sequence[str] = ()) -> DataFrame:
+    """``(row, values)``: the azimuth noise of each row over the samples ``[start, stop)``.
+
+    Sections may overlap where they agree (to one part in a million); a sample that none covers, and one where they conflict, is an error.
+    """
+    spread = sections.sparkSession.range(*rows).withColumnRenamed("id", "row")
+    if by:
+        spread = sections.select(*by).distinct().crossJoin(F.broadcast(spread))
+    parts = azimuth(sections, spread, by).where((F.col("first_sample") < samples[1]) & (F.col("last_sample") >= samples[0]) & F.col("value").isNotNull())
+    each = spread.join(parts.groupBy(*by, "row").agg(F.collect_list(F.struct("first_sample", "last_sample", "value")).alias("parts")), [*by, "row"], "left")
+
+    def at(sample: Column) -> Column:
+        here = F.transform(F.filter("parts", lambda p: (p["first_sample"] <= sample) & (p["last_sample"] >= sample)), lambda p: p["value"])
+        low, high = F.array_min(here), F.array_max(here)
+        fault = lambda why: F.raise_error(F.lit(why)).cast("double")
+        return F.when(low.isNull(), fault("no azimuth section covers a sample")).when(high - low > 1e-6 * F.abs(high), fault("azimuth sections conflict")).otherwise(low)
+
+    return each.select(*by, "row", F.transform(F.sequence(F.lit(samples[0]), F.lit(samples[1] - 1)), at).alias("values"))
+
+
 def noise_anchors(noise: DataFrame, height: int, width: int, window: int) -> DataFrame:
-    """Places of positive noise ``(line, pixel, noise)``, the most useful first: whole windows, nearness to the centre, more noise."""
+    """Places of positive noise ``(line, pixel, noise)`` with their ``rank`` from 0: whole windows, nearness to the centre, more noise."""
     half = window // 2
     inside = noise.where((F.col("noise") > 0) & F.col("line").between(0, height - 1) & F.col("pixel").between(0, width - 1))
     best = inside.groupBy("line", "pixel").agg(F.max("noise").alias("noise"))
     interior = F.col("line").between(half, height - half - 1) & F.col("pixel").between(half, width - half - 1)
     distance = F.pow(F.col("line") - (height - 1) / 2, 2) + F.pow(F.col("pixel") - (width - 1) / 2, 2)
-    return best.withColumns({"interior": interior, "distance": distance}).orderBy(F.desc("interior"), "distance", F.desc("noise"), "line", "pixel")
+    return numbered(best.withColumns({"interior": interior, "distance": distance}), F.desc("interior"), F.asc("distance"), F.desc("noise"), "line", "pixel", name="rank")

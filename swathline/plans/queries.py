@@ -13,7 +13,7 @@ from swathline.operators import catalogue, jobs, luts, raster, spatial
 from swathline.sources import annotations
 
 from . import adapters
-from .adapters import FOOTPRINT, FOOTPRINT_SIDE, PIXEL_SQL, SCENE_SQL, TILE, TILE_NAME, TILE_SIDE, boxes, scenes, source_rows, table
+from .adapters import FOOTPRINT, FOOTPRINT_SIDE, PIXEL_SQL, SCENE_SQL, TILE, TILE_NAME, TILE_SIDE, boxes, iso_sql, scenes, source_rows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +42,8 @@ _SCENES = f"""
 WITH raw AS ({SCENE_SQL}),
 n AS (SELECT *, string_split(pols, ',') AS l, replace(pols, ',', '+') AS joined FROM raw),
 e AS (SELECT *, CASE WHEN joined = '' THEN 'NONE' ELSE joined END AS combination,
-  concat(coalesce(platform, 'missing'), '|', strftime(datetime_utc, '%Y-%m-%d'), '|', instrument_mode, '|', CASE WHEN absolute_orbit = 0 THEN 'missing' ELSE CAST(absolute_orbit AS VARCHAR) END, '|', CASE WHEN joined = '' THEN 'missing' ELSE joined END) AS acquisition_key,
+  concat_ws('|', coalesce(platform, 'missing'), coalesce({iso_sql('datetime_utc')}, 'missing'), coalesce({iso_sql('end_datetime_utc')}, 'missing'), instrument_mode,
+    CASE WHEN absolute_orbit = 0 THEN 'missing' ELSE CAST(absolute_orbit AS VARCHAR) END, CASE WHEN joined = '' THEN 'missing' ELSE joined END) AS acquisition_key,
   list_filter([CASE WHEN instrument_mode <> 'IW' THEN 'instrument_mode_is_' || instrument_mode END,
     CASE WHEN platform IS NULL OR platform NOT IN ('sentinel-1a', 'sentinel-1b') THEN 'platform_is_' || coalesce(platform, 'missing') END,
     CASE WHEN product_type <> 'GRD' THEN 'product_type_is_' || product_type END, CASE WHEN pols = '' THEN 'no_supported_measurement_assets' END], lambda x: x IS NOT NULL) AS reasons FROM n),
@@ -110,10 +111,9 @@ def coverage_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("n", "lowest", "highest", *[F.round(c, 9).alias(c) for c in ("mean", "p05", "p25", "median", "p75", "p95")])
 
 
-@query(f"{_SCENES} SELECT acquisition_key, count(*) AS n, array_to_string(list_sort(list(item_id)), ',') AS ids FROM g GROUP BY acquisition_key HAVING count(*) > 1")
+@query(f"{_SCENES} SELECT acquisition_key, n, item_id FROM (SELECT acquisition_key, item_id, count(*) OVER (PARTITION BY acquisition_key) AS n FROM g) WHERE n > 1")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = catalogue.duplicates(_eligible(spark, sf_dir).where("eligible"))
-    return found.select("acquisition_key", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+    return catalogue.duplicates(_eligible(spark, sf_dir).where("eligible"))
 
 
 @query(f"{_SCENES} SELECT acquisition_key, item_id FROM (SELECT *, row_number() OVER (PARTITION BY acquisition_key ORDER BY datetime_utc NULLS LAST, item_id) AS k FROM g) WHERE k = 1")
@@ -145,7 +145,7 @@ def closest_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""{_SCENES}, {_CLOSEST}, p AS (SELECT before_id, item_id FROM (SELECT *, lag(item_id) OVER w AS before_id, epoch_us(datetime_utc) - epoch_us(lag(datetime_utc) OVER w) AS gap
-FROM g WHERE coverage >= 0.8 WINDOW w AS (ORDER BY datetime_utc, item_id)) WHERE before_id IS NOT NULL ORDER BY gap DESC, datetime_utc, item_id LIMIT 1),
+FROM g WHERE coverage >= 0.8 AND datetime_utc IS NOT NULL WINDOW w AS (ORDER BY datetime_utc, item_id)) WHERE before_id IS NOT NULL ORDER BY gap DESC, datetime_utc, item_id LIMIT 1),
 a AS (SELECT item_id, 'closest_' || side || '_' || printf('%.2f', threshold) AS reason FROM c WHERE k <= 2 UNION SELECT before_id, 'longest_gap' FROM p UNION SELECT item_id, 'longest_gap' FROM p)
 SELECT item_id, array_to_string(list_sort(list(reason)), ',') AS reasons FROM a GROUP BY item_id"""
 )
@@ -164,14 +164,9 @@ def all_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.candidates(_eligible(spark, sf_dir), 0.8).select("item_id")
 
 
-@query(f"{_SCENES}, r AS (SELECT o_orderkey AS item_id FROM orders WHERE o_orderkey % 5 = 0) SELECT item_id, EXISTS (SELECT 1 FROM e WHERE e.item_id = r.item_id) AS present FROM r")
-def requested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present(spark, sf_dir, table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0"))
-
-
 @query(f"{_SCENES}, r AS (SELECT o_orderkey AS item_id FROM orders) SELECT item_id, EXISTS (SELECT 1 FROM e WHERE e.item_id = r.item_id) AS present FROM r")
 def requested_all_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``requested_ids`` for every order key."""
+    """Which order keys are the ids of scenes."""
     return _present(spark, sf_dir, table(spark, sf_dir, "orders"))
 
 
@@ -203,6 +198,20 @@ def summary_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.invariants(catalogue.threshold_summary(_eligible(spark, sf_dir), THRESHOLDS))
 
 
+@query(
+    f"""{_SCENES}, c AS (SELECT threshold, CASE WHEN threshold = 0.75 THEN 2 * count(item_id) ELSE count(item_id) END AS item_count FROM t LEFT JOIN g ON coverage >= threshold GROUP BY threshold),
+b AS (SELECT *, lag(item_count) OVER (ORDER BY threshold) AS before FROM c)
+SELECT 'counts' AS fault, threshold AS place, CAST(item_count AS DOUBLE) AS value FROM b WHERE item_count > before UNION ALL SELECT 'coverage', CAST(item_id AS DOUBLE), coverage + 0.1 FROM g WHERE coverage + 0.1 > 1"""
+)
+def violated_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the invariants say of a summary with a count doubled and of coverages made too large."""
+    rows = _eligible(spark, sf_dir)
+    doubled = catalogue.threshold_summary(rows, THRESHOLDS).withColumn("item_count", F.when(F.col("threshold") == 0.75, 2 * F.col("item_count")).otherwise(F.col("item_count")))
+    counts = catalogue.invariants(doubled).select(F.lit("counts").alias("fault"), F.col("threshold").alias("place"), F.col("item_count").cast("double").alias("value"))
+    larger = catalogue.coverage_faults(rows.where("eligible").withColumn("coverage", F.col("coverage") + F.lit(0.1)))
+    return counts.union(larger.select(F.lit("coverage"), F.col("item_id").cast("double"), "coverage"))
+
+
 @query(
     f"""WITH a AS (SELECT {', '.join(f'{e} AS {c}' for c, e in TILE.items())} FROM supplier), b AS (SELECT {', '.join(f'{e} AS {c}' for c, e in FOOTPRINT.items())} FROM customer),
 p AS (SELECT tile_id, scene_id, greatest(0, least(a.minx + {TILE_SIDE}, b.minx + {FOOTPRINT_SIDE}) - greatest(a.minx, b.minx)) * greatest(0, least(a.miny + {TILE_SIDE}, b.miny + {FOOTPRINT_SIDE}) - greatest(a.miny, b.miny)) AS area FROM a, b)
@@ -246,12 +255,6 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.vectors(spark, table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0])
 
 
-@query(f"WITH {_LUT} SELECT row, col, round(lut, 9) AS lut FROM lut WHERE row % 10 = 3")
-def lut_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line in ten of ``lut_lines``."""
-    return lut_lines(spark, sf_dir).where("row % 10 = 3")
-
-
 @query(f"WITH {_LUT}, z AS (SELECT max(line) AS line FROM k) SELECT row, col, round(lut, 9) AS lut FROM lut UNION ALL SELECT line, col, round(v, 9) FROM a JOIN z USING (line)")
 def lut_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line from the first calibration vector to the last."""
@@ -360,27 +363,31 @@ def tile_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE {TILE_NAME.format(text='VARCHAR')} END AS tile,
-CASE WHEN o_orderkey % 4 = 3 THEN 'no_tile' WHEN o_orderkey % 4 = 0 AND o_orderkey % 8 = 0 THEN 'mode_mismatch' ELSE '' END AS faults FROM orders"""
+    f"""SELECT o_orderkey, CASE WHEN o_orderkey % 6 >= 3 THEN NULL ELSE {TILE_NAME.format(text='VARCHAR')} END AS tile,
+CASE WHEN o_orderkey % 6 >= 3 THEN 'no_tile' WHEN o_orderkey % 12 = 0 THEN 'mode_mismatch' ELSE '' END AS faults FROM orders"""
 )
 def message_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects, quoted and bare names, and messages that name no tile: an empty object, a number, a list."""
     name = F.concat(F.lit("T"), F.expr(TILE_NAME.format(text="STRING")))
-    mode = F.when(F.col("o_orderkey") % 8 == 0, "EW").otherwise("IW")
+    mode = F.when(F.col("o_orderkey") % 12 == 0, "EW").otherwise("IW")
     whole = F.to_json(F.struct(name.alias("mgrs_tile"), mode.alias("mode")))
-    kind = F.col("o_orderkey") % 4
-    body = F.when(kind == 0, whole).when(kind == 1, F.concat(F.lit('"'), name, F.lit('"'))).when(kind == 2, F.lower(name)).otherwise("{}")
+    kind = F.col("o_orderkey") % 6
+    body = F.when(kind == 0, whole).when(kind == 1, F.concat(F.lit('"'), name, F.lit('"'))).when(kind == 2, F.lower(name)).when(kind == 3, "{}").when(kind == 4, "12345").otherwise("[1, 2]")
     return jobs.parsed(table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body")), CONFIG).select("o_orderkey", "tile", F.array_join("faults", ",").alias("faults"))
 
 
 @query(
-    """WITH l AS (SELECT event_id, CAST(event_id % 3 AS INT) AS code, CASE WHEN event_type = 'view' THEN 'x No eligible scenes y' WHEN event_type = 'click' THEN NULL ELSE 'ok' END AS log FROM events)
-SELECT CASE WHEN log LIKE '%No eligible scenes%' THEN 'no_data' WHEN code <> 0 THEN 'failed' ELSE 'complete' END AS state,
-CASE WHEN log LIKE '%No eligible scenes%' THEN 'no_sentinel1_data' WHEN code <> 0 THEN 'processor_exit_' || code END AS reason, count(*) AS n FROM l GROUP BY 1, 2"""
+    """WITH l AS (SELECT event_id % 3 AS code, event_id % 5 <> 0 AS written, event_type IN ('view', 'purchase', 'error', 'signup') AS nothing FROM events),
+e AS (SELECT CASE WHEN code = 0 AND written THEN 'complete' WHEN nothing THEN 'no_data' ELSE 'failed' END AS state, code FROM l)
+SELECT state, CASE WHEN state = 'no_data' THEN 'no_sentinel1_data' WHEN state = 'failed' AND code <> 0 THEN 'processor_exit_' || code WHEN state = 'failed' THEN 'unknown_failure' END AS reason,
+CASE WHEN state = 'failed' THEN 'keep' ELSE 'delete' END AS action, count(*) AS n FROM e GROUP BY ALL"""
 )
 def failure_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = F.when(F.col("event_type") == "view", "x No eligible scenes y").when(F.col("event_type") == "click", F.lit(None)).otherwise("ok")
-    ends = table(spark, sf_dir, "events").select(jobs.classified((F.col("event_id") % 3).cast("int"), log).alias("end"))
-    return ends.groupBy("end.state", "end.reason").agg(F.count("*").alias("n"))
+    """Exits by state, reason and what becomes of the message."""
+    said = {"view": "Candidate scenes:           0", "purchase": "x\nNo acquisitions\n", "error": "No scenes remained after filtering.", "signup": "No Sentinel-1 scenes here"}
+    log = F.create_map(*[F.lit(x) for pair in said.items() for x in pair])[F.col("event_type")]
+    ends = table(spark, sf_dir, "events").select(jobs.classified((F.col("event_id") % 3).cast("int"), log, F.col("event_id") % 5 != 0).alias("end"))
+    return ends.groupBy("end.state", "end.reason", jobs.action(F.col("end.state")).alias("action")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT 'T' || (user_id % 500) AS tile, event_id AS sequence, event_type AS state FROM (SELECT *, row_number() OVER (PARTITION BY user_id % 500 ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")
@@ -415,9 +422,10 @@ def record_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{_SCENES}, b AS (SELECT CAST(floor(coverage * 10) AS INT) AS r, CAST(relative_orbit % 64 AS INT) AS k, absolute_orbit AS v FROM g)
-SELECT r AS line, k AS pixel, CAST(max(v) AS DOUBLE) AS noise, r BETWEEN 2 AND 5 AND k BETWEEN 2 AND 61 AS interior FROM b WHERE v > 0 AND r < 8 GROUP BY r, k"""
+    f"""{_SCENES}, b AS (SELECT CAST(floor(coverage * 10) AS INT) AS r, CAST(relative_orbit % 64 AS INT) AS k, absolute_orbit AS v FROM g),
+m AS (SELECT r AS line, k AS pixel, CAST(max(v) AS DOUBLE) AS noise, r BETWEEN 2 AND 5 AND k BETWEEN 2 AND 61 AS interior FROM b WHERE v > 0 AND r < 8 GROUP BY r, k)
+SELECT *, row_number() OVER (ORDER BY interior DESC, pow(line - 3.5, 2) + pow(pixel - 31.5, 2), noise DESC, line, pixel) - 1 AS rank FROM m"""
 )
 def noise_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _eligible(spark, sf_dir).where("eligible").select(F.floor(F.col("coverage") * 10).cast("int").alias("line"), (F.col("relative_orbit") % 64).cast("int").alias("pixel"), F.col("absolute_orbit").cast("double").alias("noise"))
-    return luts.noise_anchors(rows, 8, 64, 4).select("line", "pixel", "noise", "interior")
+    return luts.noise_anchors(rows, 8, 64, 4).select("line", "pixel", "noise", "interior", "rank")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swathline.operators.luts import increasing
+
 _VECTOR = "array<struct<line: string, azimuthTime: string, pixel: string, {}>>"
 CALIBRATION = "absoluteCalibrationConstant string, calibrationVectorList struct<calibrationVector: " + _VECTOR.format("sigmaNought: string, betaNought: string, gamma: string, dn: string") + ">"
 NOISE = (
@@ -29,12 +31,18 @@ def _text(document: Column, name: str) -> Column:
 
 
 def calibration(documents: DataFrame, lut: str = "sigmaNought", column: str = "document") -> DataFrame:
-    """One row a calibration vector: ``(line, azimuth_time, pixels, lut)`` and the other columns of ``documents``."""
+    """One row a calibration vector: ``(line, azimuth_time, pixels, lut)`` and the other columns of ``documents``.
+
+    A document that isn't well formed is an error, as is a vector whose samples and values differ in number or whose samples don't increase.
+    Rules between vectors (``luts.checked``) need the raster's key.
+    """
     if lut not in ("sigmaNought", "betaNought", "gamma", "dn"):
         raise ValueError(f"unknown table {lut!r}")
-    found = documents.withColumn("x", F.from_xml(without_prefixes(F.col(column)), CALIBRATION)).withColumn("v", F.explode("x.calibrationVectorList.calibrationVector"))
+    found = documents.withColumn("x", F.from_xml(without_prefixes(F.col(column)), CALIBRATION, {"mode": "FAILFAST"})).withColumn("v", F.explode("x.calibrationVectorList.calibrationVector"))
     rest = [c for c in documents.columns if c != column]
-    return found.select(*rest, F.col("v.line").cast("bigint").alias("line"), F.col("v.azimuthTime").alias("azimuth_time"), numbers(F.col("v.pixel"), "bigint").alias("pixels"), numbers(F.col(f"v.{lut}"), "double").alias("lut"))
+    rows = found.select(*rest, F.col("v.line").cast("bigint").alias("line"), F.col("v.azimuthTime").alias("azimuth_time"), numbers(F.col("v.pixel"), "bigint").alias("pixels"), numbers(F.col(f"v.{lut}"), "double").alias("lut"))
+    right = (F.size("pixels") == F.size("lut")) & increasing(F.col("pixels"))
+    return rows.withColumn("lut", F.when(right, F.col("lut")).otherwise(F.raise_error(F.lit("a calibration vector's samples do not fit its values")).cast("array<double>")))
 
 
 def noise(documents: DataFrame, column: str = "document") -> DataFrame:
@@ -42,7 +50,7 @@ def noise(documents: DataFrame, column: str = "document") -> DataFrame:
 
     Both formats at once, and azimuth without range, are errors.
     """
-    x = F.from_xml(without_prefixes(F.col(column)), NOISE)
+    x = F.from_xml(without_prefixes(F.col(column)), NOISE, {"mode": "FAILFAST"})
     found = documents.withColumn("x", x).withColumns({"legacy": F.col("x.noiseVectorList.noiseVector"), "ranged": F.col("x.noiseRangeVectorList.noiseRangeVector"), "azimuth": F.col("x.noiseAzimuthVectorList.noiseAzimuthVector")})
     name = (
         F.when(F.col("legacy").isNotNull() & (F.col("ranged").isNotNull() | F.col("azimuth").isNotNull()), F.raise_error(F.lit("legacy and range noise in one document")).cast("string"))

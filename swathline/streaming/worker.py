@@ -21,13 +21,18 @@ def messages(spark: SparkSession, folder: str, files: int = 1) -> DataFrame:
 
 
 def run(stream: DataFrame, expected: dict[str, str], out: str, checkpoint: str, process: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Drain the queue.  ``process(valid jobs)`` returns ``(tile, code, log)``; states go to ``out/status``, bad messages to ``out/dead``."""
+    """Drain the queue.  ``process(valid jobs)`` returns ``(tile, code, log)``; states go to ``out/status``, bad messages to ``out/dead``.
+
+    A tile that several messages of a batch ask for is processed once; its status says for how many messages, and what becomes of them.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
         read = jobs.parsed(rows, expected).persist()
         end = jobs.classified(F.col("code"), F.col("log"))
-        done = process(read.where(F.size("faults") == 0).dropDuplicates(["tile"])).select("tile", end.alias("end"))
-        done.select("tile", "end.*", F.lit(number).alias("sequence")).write.mode("overwrite").parquet(f"{out}/status/batch={number}")
+        jobs_of = read.where(F.size("faults") == 0).groupBy("tile").agg(F.count("*").alias("messages"), F.min("body").alias("body"))
+        done = process(jobs_of).select("tile", end.alias("end")).join(jobs_of.select("tile", "messages"), "tile")
+        found = done.select("tile", "end.*", jobs.action(F.col("end.state")).alias("action"), "messages", F.lit(number).alias("sequence"))
+        found.write.mode("overwrite").parquet(f"{out}/status/batch={number}")
         read.where(F.size("faults") > 0).select("body", "faults").write.mode("overwrite").parquet(f"{out}/dead/batch={number}")
         read.unpersist()
 

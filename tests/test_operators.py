@@ -98,7 +98,7 @@ def test_acceptance_rules(spark):
 
 
 def test_empty_catalogue(spark):
-    empty = spark.createDataFrame([], "item_id long, datetime_utc timestamp_ntz, platform string, instrument_mode string, product_type string, orbit_state string, relative_orbit long, absolute_orbit long, polarisations array<string>, coverage double")
+    empty = spark.createDataFrame([], "item_id long, datetime_utc timestamp_ntz, end_datetime_utc timestamp_ntz, platform string, instrument_mode string, product_type string, orbit_state string, relative_orbit long, absolute_orbit long, polarisations array<string>, coverage double")
     found = catalogue.threshold_summary(catalogue.eligibility(catalogue.normalised(empty)), [0.5, 0.8]).collect()
     assert [(r.item_count, r.fraction) for r in found] == [(0, 0.0), (0, 0.0)]
 
