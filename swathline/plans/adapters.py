@@ -82,7 +82,11 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = lambda kind, p: F.concat(F.lit(f"{kind}/"), F.col("item_id").cast("string"), F.lit("/"), p)
     low = F.transform("polarisations", F.lower)
     measured = F.transform(low, lambda p: entry(p, F.when((F.col("item_id") % 5 == 0) & (p == "vv"), " ").otherwise(path("m", p))))
-    schemas = [F.filter(F.transform(low, lambda p, s=s, when=when: F.when(when, entry(F.concat(F.lit(f"schema-{s}-"), p), path(s, p)))), lambda e: e.isNotNull()) for s, when in (("product", F.lit(True)), ("calibration", F.col("item_id") % 3 != 0), ("noise", F.col("item_id") % 7 != 0))]
+
+    def schema(name: str, there) -> object:
+        return F.array_compact(F.transform(low, lambda p: F.when(there, entry(F.concat(F.lit(f"schema-{name}-"), p), path(name, p)))))
+
+    schemas = [schema("product", F.lit(True)), schema("calibration", F.col("item_id") % 3 != 0), schema("noise", F.col("item_id") % 7 != 0)]
     manifest = F.when(F.col("item_id") % 4 != 0, F.array(entry(F.lit("safe-manifest"), path("s", F.lit("x")))))
     assets = F.map_from_entries(F.concat(measured, *schemas, F.coalesce(manifest, F.filter(measured, lambda e: F.lit(False)))))
     return rows.select(

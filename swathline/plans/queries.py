@@ -317,11 +317,11 @@ def valid_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", *[F.round(c, 9).alias(c) for c in ("area_mean", "occupied", "full")])
 
 
-def _two_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _two_bands(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Even vectors as VV and odd ones as VH of the item they share."""
     grid = raster.to_decibels(_grid(spark, sf_dir))
     band = F.when(F.col("item_id") % 2 == 0, "VV").otherwise("VH")
-    return grid.select(F.floor(F.col("item_id") / 2).alias("item_id"), band.alias("band"), "y", "x", "value", (F.col("valid") & (F.col("fraction") > 0.9)).alias("valid"))
+    return grid.select(F.floor(F.col("item_id") / 2).alias("item_id"), band.alias("band"), "y", "x", "value", *more, (F.col("valid") & (F.col("fraction") > 0.9)).alias("valid"))
 
 
 _BANDS = f"{_GRID}, two AS (SELECT item_id // 2 AS item_id, CASE WHEN item_id % 2 = 0 THEN 'VV' ELSE 'VH' END AS band, y, x, value, coalesce(value > 0, false) AND fraction > 0.9 AS valid FROM grid)"
