@@ -64,6 +64,21 @@ def product(rows: list[np.ndarray], matrix: np.ndarray) -> np.ndarray:
     return out
 
 
+def _shared(rows: list[np.ndarray], marks: list[np.ndarray]) -> np.ndarray:
+    """How many n-grams each row shares with each landmark, by the list of landmarks that hold an n-gram."""
+    grams, holder = np.concatenate(marks), np.repeat(np.arange(len(marks)), [len(m) for m in marks])
+    order = np.argsort(grams, kind="stable")
+    holder, limits = holder[order].astype(np.int32), np.searchsorted(grams[order], np.arange((1 << BITS) + 1))
+    out = np.zeros((len(rows), len(marks)))
+    for k, row in enumerate(rows):
+        first, n = limits[row], limits[row + 1] - limits[row]
+        ends = np.cumsum(n)
+        if len(row) and ends[-1]:
+            places = np.arange(ends[-1]) + np.repeat(first - ends + n, n)
+            out[k] = np.bincount(holder[places], minlength=len(marks))
+    return out
+
+
 class Model:
     def __init__(self, languages: list[str], weights: np.ndarray):
         self.languages, self.weights = languages, weights
@@ -81,11 +96,9 @@ class Model:
             turn.append(seen[name])
             seen[name] += 1
         chosen = np.lexsort((np.arange(len(texts)), turn))[:landmarks]
-        marks = np.zeros((1 << BITS, len(chosen)), bool)
-        for k, row in enumerate(chosen):
-            marks[rows[row], k] = True
-        length = np.sqrt(np.maximum(1, marks.sum(axis=0)))
-        kernel = np.concatenate([product([row], marks) for row in rows]) / length
+        length = np.sqrt([max(1, len(rows[row])) for row in chosen])
+        shared = _shared(rows, [rows[row] for row in chosen])
+        kernel = shared / length / np.sqrt([max(1, len(row)) for row in rows])[:, None]
         own = kernel[chosen]
         target = np.where(np.array(languages)[:, None] == np.array(names)[None], 1.0, -1.0)
         # a class counts as much as any other
