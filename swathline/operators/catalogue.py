@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swathline.functions import text
+from swathline.session import kept
 
 PLATFORMS = ("sentinel-1a", "sentinel-1b")
 MODE, PRODUCT = "IW", "GRD"
@@ -167,7 +168,7 @@ def gaps(scenes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def quantiles(counts: DataFrame, at: Sequence[float], by: Sequence[str] = (), cells: int = 256) -> DataFrame:
     """Exact quantiles of ``counts(value, n)`` by few groups, interpolated at (n - 1) p, as an array column ``q``.
 
-    ``counts`` has distinct values.  They are dealt to cells between approximate quantiles (the one thing the driver gets, ``cells`` numbers a
+    ``counts`` has distinct values and is read several times, so it should be a written table (``kept``).  They are dealt to cells between approximate quantiles (the one thing the driver gets, ``cells`` numbers a
     group); sums over cells tell the ranks a cell begins with, so no task holds more than about one part in ``cells`` of a group's values.
     """
     points = F.percentile_approx("value", F.array(*[F.lit(i / cells) for i in range(1, cells)]), F.lit(10_000)).alias("points")
@@ -194,7 +195,7 @@ def gap_statistics(scenes: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     times = gaps(unique, ["threshold"])
     # a time that n acquisitions share has n - 1 gaps of zero after its own
     each = F.explode(F.array(F.struct(F.col("gap_days").alias("value"), F.lit(1).cast("long").alias("n")), F.struct(F.lit(0.0).alias("value"), (F.col("n") - 1).alias("n")))).alias("g")
-    counts = times.select("threshold", each).where("g.value IS NOT NULL AND g.n > 0").groupBy("threshold", "g.value").agg(F.sum("g.n").alias("n"))
+    counts = kept(times.select("threshold", each).where("g.value IS NOT NULL AND g.n > 0").groupBy("threshold", "g.value").agg(F.sum("g.n").alias("n")))
     sums = counts.groupBy("threshold").agg(F.sum("n").alias("gap_count"), F.min("value").alias("min_gap"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean_gap"), F.max("value").alias("max_gap"))
     found = sums.join(quantiles(counts, [0.5], ["threshold"]).select("threshold", F.col("q")[0].alias("median_gap")), "threshold")
     return with_all(found, thresholds).withColumn("gap_count", F.coalesce("gap_count", F.lit(0)))
@@ -202,7 +203,7 @@ def gap_statistics(scenes: DataFrame, thresholds: Sequence[float]) -> DataFrame:
 
 def coverage_distribution(scenes: DataFrame) -> DataFrame:
     """Exact quantiles, interpolated at (n - 1) p; a row of nulls for an empty table."""
-    counts = scenes.where("coverage IS NOT NULL").groupBy(F.col("coverage").alias("value")).agg(F.count("*").alias("n"))
+    counts = kept(scenes.where("coverage IS NOT NULL").groupBy(F.col("coverage").alias("value")).agg(F.count("*").alias("n")))
     found = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.min("value").alias("lowest"), F.max("value").alias("highest"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     q = quantiles(counts, (0.05, 0.25, 0.5, 0.75, 0.95))
     return found.crossJoin(q).select(F.col("total").alias("n"), "lowest", *[F.col("q")[i].alias(name) for i, name in enumerate(("p05", "p25", "median", "p75", "p95"))], "mean", "highest")
