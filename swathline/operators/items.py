@@ -136,3 +136,29 @@ def tile_matches(matches: DataFrame, most: int) -> DataFrame:
     before = F.coalesce(F.sum("n").over(Window.orderBy("scan").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     reached = tiles.select("scan", before.alias("before")).where(F.col("before") < most)
     return matches.join(F.broadcast(reached), "scan").drop("before").orderBy(F.desc("coverage"), F.desc("tile"), F.desc("item_id"))
+
+
+def scan(catalogue: DataFrame, collection: str, start: str, end: str, box: tuple[float, float, float, float] | None = None, most: int | None = None) -> DataFrame:
+    """Items of a collection between two days (both whole) whose box meets another, by time (null last) and id, at most ``most``.
+
+    The filters are on plain columns, so they reach the scan of a landed catalogue table.
+    """
+    found = catalogue.where((F.col("collection") == collection) & (F.col("datetime_utc") >= F.lit(start).cast("date")) & (F.col("datetime_utc") < F.date_add(F.lit(end).cast("date"), 1)))
+    if box is not None:
+        left, low, right, high = box
+        found = found.where((F.col("minx") <= right) & (F.col("maxx") >= left) & (F.col("miny") <= high) & (F.col("maxy") >= low))
+    found = found.orderBy(F.asc_nulls_last("datetime_utc"), "item_id")
+    return found.limit(most) if most else found
+
+
+def noise_usability(parts: DataFrame, noise: DataFrame) -> DataFrame:
+    """Which polarisations can test noise removal: ``parts(item_id, polarisation, corrected, error)`` with ``noise(item_id, polarisation, values)`` joined.
+
+    Usable is a product whose noise wasn't removed, with a positive value in its tables and no error; all others say no, with what is known of them.
+    """
+    sums = noise.groupBy("item_id", "polarisation").agg(
+        F.min(F.array_min("values")).alias("noise_minimum"), F.max(F.array_max("values")).alias("noise_maximum"), F.sum(F.size(F.filter("values", lambda v: v > 0))).cast("long").alias("n_positive")
+    )
+    joined = parts.join(sums, ["item_id", "polarisation"], "left").withColumn("n_positive", F.coalesce("n_positive", F.lit(0).cast("long")))
+    usable = F.col("error").isNull() & F.coalesce(~F.col("corrected"), F.lit(False)) & (F.col("n_positive") > 0) & F.coalesce(F.col("noise_maximum") > 0, F.lit(False))
+    return joined.withColumn("usable", usable)

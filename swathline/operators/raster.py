@@ -88,3 +88,17 @@ def all_close(left: DataFrame, right: DataFrame, keys: Sequence[str], relative:
     joined = left.alias("l").join(right.alias("r"), list(keys), "full")
     near = F.abs(F.col("l.value") - F.col("r.value")) <= absolute + relative * F.abs(F.col("r.value"))
     return joined.where(~F.coalesce(near, F.col("l.value").eqNullSafe(F.col("r.value"))))
+
+
+def stage_counts(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What each stage of calibration left of ``pixels(source_valid, noise_power, denoised_power, calibrated_linear)``, by key."""
+    return pixels.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.count_if("source_valid").alias("source_valid"), F.count_if(F.col("noise_power") > 0).alias("noise_valid"),
+        F.count_if(F.col("source_valid") & F.col("denoised_power").isNull()).alias("nonpositive"), F.count_if(F.col("calibrated_linear") > 0).alias("final_valid"),
+    )
+
+
+def validated(grid: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The statistics of each output grid; one without a valid cell is an error."""
+    found = finite_summary(grid, keys)
+    return found.withColumn("n_finite", F.when(F.col("n_finite") > 0, F.col("n_finite")).otherwise(F.raise_error(F.lit("no valid cells")).cast("long")))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swathline.functions import radiometry, text
-from swathline.operators import audit, catalogue, items, luts
+from swathline.operators import audit, catalogue, items, luts, raster
 from swathline.operators.jobs import numbered
+from swathline.sources import records as record_files
 
 from . import adapters
 from .adapters import SCENE_SQL, coverages, iso_sql, scenes, table
-from .queries import _BANDS, _SCENES, THRESHOLDS, _eligible, _two_bands, _vectors, query
+from .queries import _BANDS, _CHAIN, _GRID, _SCENES, THRESHOLDS, _calibrated, _eligible, _grid, _two_bands, query
 
 _KNOWN = "(VALUES ('VV', 1), ('VH', 2), ('HH', 3), ('HV', 4)) k(p, o)"
 _ASSETS = f"""
@@ -242,3 +245,82 @@ def lenient_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return numbered(rows, F.desc("o_totalprice"), "o_orderkey").select("o_orderkey", "place")
+
+
+@query(f"{_SCENES} SELECT item_id FROM e WHERE datetime_utc >= TIMESTAMP '2024-01-05' AND datetime_utc < TIMESTAMP '2024-02-01' AND item_id % 1000 <= 700 AND item_id % 1000 + 35 >= 300")
+def catalogue_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of January 2024 whose boxes meet another."""
+    left = (F.col("item_id") % 1000).cast("double")
+    boxed = adapters.items(spark, sf_dir).withColumns({"minx": left, "maxx": left + 35, "miny": F.lit(0.0), "maxy": F.lit(35.0)})
+    return items.scan(boxed, "grd", "2024-01-05", "2024-01-31", (300.0, 10.0, 700.0, 20.0)).select("item_id")
+
+
+@query(
+    f"""{_ASSETS}, v AS (SELECT vec_id, min(CAST(v AS DOUBLE)) AS lo, max(CAST(v AS DOUBLE)) AS hi, count(*) FILTER (v > 0) AS n FROM (SELECT vec_id, unnest(embedding) AS v FROM embeddings) GROUP BY vec_id)
+SELECT item_id, polarisation, round(lo, 9) AS noise_minimum, round(hi, 9) AS noise_maximum, coalesce(n, 0) AS n_positive, noise_href IS NOT NULL AND item_id % 3 = 1 AND coalesce(n, 0) > 0 AS usable
+FROM pa LEFT JOIN v ON vec_id = item_id"""
+)
+def noise_usability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polarisations with the embedding of their item's number as noise values; items beyond the embeddings have none."""
+    parts = items.unpivoted(adapters.items(spark, sf_dir))
+    corrected = F.when(F.col("item_id") % 3 == 0, True).when(F.col("item_id") % 3 == 1, False)
+    parts = parts.select("item_id", "polarisation", corrected.alias("corrected"), F.when(F.col("noise_href").isNull(), F.lit("no noise document")).alias("error"))
+    row = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), F.transform("embedding", lambda v: v.cast("double")).alias("values"))
+    found = items.noise_usability(parts, row.join(parts.select("item_id", "polarisation"), "item_id"))
+    return found.select("item_id", "polarisation", F.round("noise_minimum", 9).alias("noise_minimum"), F.round("noise_maximum", 9).alias("noise_maximum"), "n_positive", "usable")
+
+
+@query(
+    """WITH v AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS time, embedding FROM embeddings)
+SELECT label, time, k AS sample, CAST(embedding[k + 1] AS DOUBLE) AS value FROM v, range(0, 64) r(k)"""
+)
+def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each label's embeddings as a cube in a checksummed record file of chunks of 16, built in tasks and read back from its bytes."""
+    rows = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+
+    def build(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("vec_id")
+        cube = np.stack(part["embedding"].to_numpy()).astype(np.float32)
+        content = record_files.array_bundle({"values": cube, "time": part["vec_id"].to_numpy(np.int64)}, {"values": ("time", "sample"), "time": ("time",)}, "time", 16)
+        return pd.DataFrame({"label": [part["label"].iloc[0]], "content": [content]})
+
+    def read(batches):
+        for batch in batches:
+            for label, content in zip(batch["label"], batch["content"], strict=True):
+                _, arrays = record_files.array_bundle_of(bytes(content))
+                cube = arrays["values"]
+                time, sample = np.indices(cube.shape)
+                yield pd.DataFrame({"label": label, "time": time.ravel(), "sample": sample.ravel(), "value": cube.ravel().astype(float)})
+
+    files = rows.groupBy("label").applyInPandas(build, "label int, content binary")
+    return files.mapInPandas(read, "label int, time long, sample long, value double")
+
+
+@query(f"{_GRID} SELECT item_id, count(value) AS n_finite, round(min(value), 9) AS lowest, round(max(value), 9) AS highest, round(avg(value), 9) AS mean, round(median(value), 9) AS median FROM grid GROUP BY item_id HAVING count(value) > 0")
+def validated_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of each calibrated grid that has a valid cell; the validator refuses the others, which are left out before it."""
+    grid = _grid(spark, sf_dir)
+    some = grid.groupBy("item_id").agg(F.count("value").alias("n")).where("n > 0")
+    found = raster.validated(grid.join(some, "item_id", "left_semi"), ["item_id"])
+    return found.select("item_id", "n_finite", *[F.round(c, 9).alias(c) for c in ("lowest", "highest", "mean", "median")])
+
+
+@query(f"{_CHAIN} SELECT item_id, count(*) AS n, count(*) FILTER (ok) AS source_valid, count(*) FILTER (noise > 0) AS noise_valid, count(*) FILTER (ok AND NOT left_ > 0) AS nonpositive, count(*) FILTER (linear > 0) AS final_valid FROM c GROUP BY item_id")
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _calibrated(spark, sf_dir)
+    # what the chain was given, from its own first stage and the place of the pixel
+    given = rows.withColumns({"source_valid": (F.col("col") % 13 != 0) & (F.col("source_power") != 0), "noise_power": (F.lit(20.0) + F.col("col")).cast("float")})
+    return raster.stage_counts(given, ["item_id"])
+
+
+@query(
+    """WITH i AS (SELECT label AS item_id, vec_id % 64 AS y, k AS x, CASE WHEN vec_id % 2 = 0 THEN 'VV' ELSE 'VH' END AS band, CAST(abs(CAST(embedding[k + 1] AS DOUBLE) * 1000) AS FLOAT) AS v FROM embeddings, range(0, 64) r(k))
+SELECT item_id, y, x, round(max(CASE WHEN band = 'VV' THEN CAST(v AS DOUBLE) END), 6) AS vv, round(max(CASE WHEN band = 'VH' THEN CAST(v AS DOUBLE) END), 6) AS vh, bool_or(band = 'VV') AS vv_valid, bool_or(band = 'VH') AS vh_valid FROM i GROUP BY item_id, y, x"""
+)
+def uncalibrated_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detected magnitudes as a cube without radiometry; of several samples of a cell the largest."""
+    pixels = raster.pixels(adapters.source_rows(spark, sf_dir), ["item_id"])
+    band = F.when(F.col("row") % 2 == 0, "VV").otherwise("VH")
+    cells = pixels.select("item_id", band.alias("band"), (F.col("row") % 64).alias("y"), F.col("col").cast("long").alias("x"), F.col("value").cast("double").alias("value"))
+    grid = cells.groupBy("item_id", "band", "y", "x").agg(F.max("value").alias("value"))
+    return raster.cube(grid, ["VV", "VH"]).withColumns({c: F.round(c, 6) for c in ("vv", "vh")})
