@@ -43,22 +43,24 @@ def words(text: str) -> list[str]:
 class Reading:
     """What the features of a text need, whatever the lexicon: its words, and what is counted without one."""
 
-    def __init__(self, text: str | None):
+    def __init__(self, text: str | None, kept: bool = False):
+        """``kept``: the reading stays in memory with others, so that equal words should be one object."""
         text = text or ""
-        self.words = list(map(sys.intern, words(text.lower())))
-        second = [i for i, w in enumerate(self.words) if w in SECOND]
-        self.close = {j for i in second for j in range(i - NEAR, i + NEAR + 1)}
+        self.words = words(text.lower())
+        if kept:
+            self.words = list(map(sys.intern, self.words))
+        self.second = {i for i, w in enumerate(self.words) if w in SECOND}
         mixed = [w for w in self.words if not w.isalpha() and not w.isdigit()]
         self.hidden = [w.translate(STAND_INS) for w in mixed]
         n, chars = max(1, len(self.words)), max(1, len(text))
         capitals = sum(map(str.isupper, text)) / chars if not text.islower() else 0.0
-        self.rates = [len(second) / n, capitals, text.count("!") / n, text.count("!!") / n, text.count("?") / n, len(mixed) / n]
+        self.rates = [len(self.second) / n, capitals, text.count("!") / n, text.count("!!") / n, text.count("?") / n, len(mixed) / n]
 
     def features(self, lexicon: dict[str, float]) -> list[float]:
         n = max(1, len(self.words))
         hits = [i for i, w in enumerate(self.words) if w in lexicon]
         strong = sum(lexicon[self.words[i]] > 2 for i in hits)
-        near = sum(i in self.close for i in hits)
+        near = sum(not self.second.isdisjoint(range(i - NEAR, i + NEAR + 1)) for i in hits)
         kinds = len({self.words[i] for i in hits})
         hidden = sum(w in lexicon for w in self.hidden)
         return [len(hits) / n, strong / n, float(kinds), float(bool(hits)), near / n, *self.rates, hidden / n, float(np.log1p(len(self.words)))]
@@ -173,7 +175,7 @@ class Model:
         labels = np.asarray(labels, float)
         if len(labels) < 20 or labels.min() == labels.max():
             return cls({}, None, np.zeros(0), np.zeros(0), float((labels.sum() + 1) / (len(labels) + 4)))
-        readings = list(map(Reading, texts))
+        readings = [Reading(t, kept=True) for t in texts]
         table = lambda lexicon: np.array([r.features(lexicon) for r in readings])
         # calibration is fitted on margins of documents that the trees haven't seen
         fold = np.arange(len(labels)) % 3
