@@ -108,3 +108,42 @@ def test_every_text_of_a_test_item_is_searched(spark):
             assert [r.doc_id for r in clean(docs, tests, broadcast_bytes=limit).collect()] == [3]
     named = decontaminate.contained(docs, tests.withColumn("item_id", F.col("item_id").cast("string")))
     assert {r.item_id for r in named.collect()} == {"1", "2", None}
+
+
+def test_pipeline_runs_from_tables_to_tokens(spark):
+    import array
+    import zlib
+    from collections import Counter
+
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    tokenizer, docs = Tokenizer.from_file(TOKENIZER), spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+    want = Counter(r.doc_id for r in docs.select("doc_id").collect())
+    found = sorted(corpus_pipeline.run(spark, folder).collect(), key=lambda r: r.start)
+    assert Counter(r.doc_id for r in found) == want and max(want.values()) > 1
+    assert [r.doc_id for r in found] == sorted(r.doc_id for r in found)
+    at = 0
+    for r in found:
+        ids = [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 0]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(array.array("I", ids).tobytes()))
+        at += len(ids)
+
+
+def test_pipeline_of_empty_and_odd_tables(spark, empty, odd, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], LABEL).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, docs in (("empty", empty), ("odd", odd)):
+        here = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, here, str(tmp_path))
+            assert after.columns == docs.columns
+            here = after
+        tokens = corpus_pipeline.STAGES[-1][1](spark, here, str(tmp_path)).collect()
+        assert (len(tokens) == 0) == (name == "empty")
