@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textkit import checkpointed, released
+from .textkit import checkpointed, least_hashed, released
 from .toxicity import remainder
 
 LONGEST = 4
@@ -142,7 +142,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     usable = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     learn = (F.col("lang").isNotNull()) & F.col("doc_id").isNotNull() & (remainder("doc_id", 4) != 2)
     # ids first: the sort then carries no texts
-    chosen = usable.where(learn).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = least_hashed(usable.where(learn).select("doc_id").distinct(), "doc_id", sample)
     chosen = chosen.union(_of_each(usable.where(learn & F.col("text").rlike(r"\p{L}")))).distinct()
     # one text an id, the least with a letter
     wanted = usable.where(learn & F.col("text").rlike(r"\p{L}")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("r"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import released
+from .textkit import least_hashed, released
 
 #: Labelled documents a model is fitted on at most: those of least hash, so that the choice doesn't depend on order.
 SAMPLE = 6000
@@ -210,8 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     """
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col, 5) != 0))
     once = usable.groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-    order = F.xxhash64("doc_id")
-    chosen = once.orderBy(order, "doc_id").limit(sample)
+    chosen = least_hashed(once, "doc_id", sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # one text an id, the least, so that the sample's bound is also that of the rows that come to the driver
     rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -492,3 +492,15 @@ def test_the_shared_folder_of_a_cluster_must_be_named():
     for master in ("spark://h:1", "local-cluster[3,2,1000]", "yarn"):
         with pytest.raises(ValueError):
             shared_folder(session(master, None))
+
+
+def test_least_hashed_rows_are_those_of_a_whole_sort(spark):
+    from pyspark.sql import functions as F
+
+    from swathline.llm.textkit import least_hashed
+
+    rows = spark.range(5000).withColumnRenamed("id", "doc_id").repartition(7)
+    whole = [r.doc_id for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    for most in (1, 10, 300, 2000, 9000):
+        assert [r.doc_id for r in least_hashed(rows, "doc_id", most).collect()] == whole[:most]
+    assert least_hashed(rows.limit(0), "doc_id", 5).count() == 0
