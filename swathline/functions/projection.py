@@ -5,7 +5,7 @@ The series in the third flattening is taken to its fourth power, which is exact
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,41 +62,57 @@ def _series(factors: Sequence[float], along: Column, across: Column) -> tuple[Co
     return first, second
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, where the optimizer would write it out at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def forward(lon: Column, lat: Column, epsg: Column) -> Column:
     """``struct<x, y>`` in metres of degrees; null where one of them is."""
     meridian, north = _zone(epsg)
-    turned = F.radians(lon - meridian)
-    t = F.tan(F.radians(lat))
-    bend = F.sinh(F.lit(ECCENTRICITY) * F.atanh(F.lit(ECCENTRICITY) * t / F.sqrt(t * t + 1)))
-    conformal = t * F.sqrt(bend * bend + 1) - bend * F.sqrt(t * t + 1)
-    along, across = F.atan2(conformal, F.cos(turned)), F.asinh(F.sin(turned) / F.sqrt(conformal * conformal + F.cos(turned) * F.cos(turned)))
-    more_along, more_across = _series(FORWARD, along, across)
-    x, y = F.lit(FALSE_EASTING) + F.lit(RADIUS) * (across + more_across), north + F.lit(RADIUS) * (along + more_along)
-    return F.when(lon.isNotNull() & lat.isNotNull() & epsg.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
+
+    def bent(s: Column) -> Column:
+        bend = F.sinh(F.lit(ECCENTRICITY) * F.atanh(F.lit(ECCENTRICITY) * s["t"] / F.sqrt(s["t"] * s["t"] + 1)))
+        return _let(bend, lambda b: _let(s["t"] * F.sqrt(b * b + 1) - b * F.sqrt(s["t"] * s["t"] + 1), lambda q: turned(s, q)))
+
+    def turned(s: Column, q: Column) -> Column:
+        across = F.asinh(F.sin(s["turn"]) / F.sqrt(q * q + F.cos(s["turn"]) * F.cos(s["turn"])))
+        return _let(F.struct(F.atan2(q, F.cos(s["turn"])).alias("along"), across.alias("across")), lambda c: metres(s, c))
+
+    def metres(s: Column, c: Column) -> Column:
+        more_along, more_across = _series(FORWARD, c["along"], c["across"])
+        return F.struct((F.lit(FALSE_EASTING) + F.lit(RADIUS) * (c["across"] + more_across)).alias("x"), (s["north"] + F.lit(RADIUS) * (c["along"] + more_along)).alias("y"))
+
+    start = F.struct(F.radians(lon - meridian).alias("turn"), F.tan(F.radians(lat)).alias("t"), north.alias("north"))
+    return _let(start, lambda s: F.when(s["turn"].isNotNull() & s["t"].isNotNull(), bent(s)))
 
 
 def inverse(x: Column, y: Column, epsg: Column) -> Column:
     """``struct<lon, lat>`` in degrees of metres; null where one of them is."""
     meridian, north = _zone(epsg)
-    along, across = (y - north) / RADIUS, (x - FALSE_EASTING) / RADIUS
-    less_along, less_across = _series(INVERSE, along, across)
-    along, across = along - less_along, across - less_across
-    conformal = F.asin(F.sin(along) / F.cosh(across))
-    lat = conformal
-    for i, factor in enumerate(LATITUDE, 1):
-        lat = lat + F.lit(factor) * F.sin(conformal * (2 * i))
-    lon = F.degrees(F.atan2(F.sinh(across), F.cos(along))) + meridian
-    return F.when(x.isNotNull() & y.isNotNull() & epsg.isNotNull(), F.struct(lon.alias("lon"), F.degrees(lat).alias("lat")))
+
+    def back(s: Column) -> Column:
+        less_along, less_across = _series(INVERSE, s["along"], s["across"])
+        return _let(F.struct((s["along"] - less_along).alias("along"), (s["across"] - less_across).alias("across")), lambda c: _let(F.asin(F.sin(c["along"]) / F.cosh(c["across"])), lambda q: degrees(s, c, q)))
+
+    def degrees(s: Column, c: Column, q: Column) -> Column:
+        lat = q
+        for i, factor in enumerate(LATITUDE, 1):
+            lat = lat + F.lit(factor) * F.sin(q * (2 * i))
+        return F.struct((F.degrees(F.atan2(F.sinh(c["across"]), F.cos(c["along"]))) + s["meridian"]).alias("lon"), F.degrees(lat).alias("lat"))
+
+    start = F.struct(((y - north) / RADIUS).alias("along"), ((x - FALSE_EASTING) / RADIUS).alias("across"), meridian.alias("meridian"))
+    return _let(start, lambda s: F.when(s["along"].isNotNull() & s["across"].isNotNull() & s["meridian"].isNotNull(), back(s)))
 
 
 def projected_ring(ring: Column, epsg: Column, digits: int = 6) -> Column:
     """A ring of (longitude, latitude) pairs as one of metres in a zone, rounded."""
-    return F.transform(ring, lambda p: _pair(forward(p[0], p[1], epsg), "x", "y", digits))
+    return F.transform(ring, lambda p: _let(forward(p[0], p[1], epsg), lambda q: _pair(q, "x", "y", digits)))
 
 
 def geographic_ring(ring: Column, epsg: Column, digits: int = 12) -> Column:
     """A ring of pairs of metres in a zone as one of (longitude, latitude), rounded."""
-    return F.transform(ring, lambda p: _pair(inverse(p[0], p[1], epsg), "lon", "lat", digits))
+    return F.transform(ring, lambda p: _let(inverse(p[0], p[1], epsg), lambda q: _pair(q, "lon", "lat", digits)))
 
 
 def _pair(place: Column, first: str, second: str, digits: int) -> Column:

@@ -1,4 +1,4 @@
-"""Registered queries of projections and of the message queue, and their SQL."""
+"""Registered queries of projections, of warps and of the message queue, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swathline.functions import projection
-from swathline.operators import queue
+from swathline.operators import queue, warp
 
 from .adapters import table
 from .queries import query
@@ -63,3 +63,26 @@ def message_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("message_id"))
     log = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS message_id", "CAST(l_shipdate AS TIMESTAMP) AS at", f"{_ACTION} AS action")
     return queue.states(messages, log, F.lit(NOW).cast("timestamp"), TIMEOUT, ATTEMPTS)
+
+
+def _shift(label: str) -> str:
+    return f"(7 * ({label} % 8))"
+
+
+@query(
+    f"""WITH i AS (SELECT vec_id, label, unnest(range(0, 64)) AS n, unnest(embedding) AS e FROM embeddings),
+p AS (SELECT vec_id AS item_id, (n // 8) * 10 AS top, (n % 8) * 10 + {_shift('label')} AS side, CASE WHEN (vec_id + n) % 7 <> 0 THEN CAST(e AS DOUBLE) END AS v FROM i),
+cell AS (SELECT unnest(range(0, 6)) AS n),
+o AS (SELECT item_id, y.n AS y, x.n AS x, v, (least(top + 10, y.n * 25 + 25) - greatest(top, y.n * 25)) * (least(side + 10, x.n * 25 + 25) - greatest(side, x.n * 25)) AS w
+FROM p JOIN cell y ON top < y.n * 25 + 25 AND top + 10 > y.n * 25 JOIN cell x ON side < x.n * 25 + 25 AND side + 10 > x.n * 25)
+SELECT item_id, y, x, round(sum(w * v) / sum(CASE WHEN v IS NOT NULL THEN w END), 6) AS value, round(coalesce(sum(CASE WHEN v IS NOT NULL THEN w END), 0) / CAST(sum(w) AS DOUBLE), 6) AS fraction FROM o GROUP BY ALL"""
+)
+def warped_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as an image of 8 by 8 pixels of ten metres, located by nine control points that its label's images share, on cells of 25 metres."""
+    images = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "label", F.transform("embedding", lambda v, n: F.when((F.col("vec_id") + n) % 7 != 0, v.cast("double"))).alias("all"))
+    rows = images.select("item_id", "label", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("row"), "all").withColumn("values", F.slice("all", F.col("row") * 8 + 1, 8))
+    at = images.select("label").distinct().select("label", F.explode(F.array(F.lit(0), F.lit(4), F.lit(8))).alias("pixel")).select("*", F.explode(F.array(F.lit(0), F.lit(4), F.lit(8))).alias("line"))
+    place = projection.inverse(F.expr(f"500000e0 + 10 * pixel + {_shift('label')}"), F.expr("5700000e0 - 10 * line"), F.lit(32631))
+    points = at.withColumn("p", place).select("label", "pixel", "line", "p.lon", "p.lat")
+    found = warp.warped(rows, warp.fitted(points, ["label"], 32631), ["label"], ["item_id"], (25.0, 0.0, 500000.0, 0.0, -25.0, 5700000.0), 6, 6)
+    return found.select("item_id", "y", "x", F.round("value", 6).alias("value"), F.round("fraction", 6).alias("fraction"))

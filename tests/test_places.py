@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from swathline.functions import geometry, projection
-from swathline.operators import queue
-from swathline.sources import instance
+from swathline.operators import items, queue, warp
+from swathline.plans import adapters
+from swathline.sources import instance, reports
 
 
 def meridian_series(lon: float, lat: float, centre: float) -> tuple[float, float]:
@@ -134,3 +135,51 @@ def test_instance_probes():
     server.server_close()
     assert instance.identity(base, 0.5) == dict.fromkeys(instance.FIELDS)
     assert instance.notice("not an address") is None
+
+
+def test_warp_of_a_turned_raster_and_its_edges(spark):
+    turn = lambda pixel, line: (500000.0 + 8 * pixel + 6 * line, 5700000.0 + 6 * pixel - 8 * line)
+    places = [(1, p, l, *turn(p, l)) for p in (0, 10, 20) for l in (0, 10, 20)]
+    points = spark.createDataFrame(places, "scene int, pixel int, line int, x double, y double").withColumn("p", projection.inverse(F.col("x"), F.col("y"), F.lit(32631)))
+    points = points.select("scene", "pixel", "line", "p.lon", "p.lat")
+    fits = warp.fitted(points.unionByName(spark.createDataFrame([(1, None, 1, 0.0, 0.0)], points.schema)), ["scene"], 32631)
+    rows = spark.createDataFrame([(1, 7, r, [float(r), None, float("nan"), *[float(r)] * 17]) for r in range(20)] + [(2, 7, 0, [1.0])], "scene int, item int, row int, values array<double>")
+    terms = (20.0, 0.0, 500000.0, 0.0, -20.0, 5700200.0)
+    found = {(r.y, r.x): r for r in warp.warped(rows, fits, ["scene"], ["item"], terms, 20, 20).collect()}
+    sums: dict = {}
+    for row in range(20):
+        for col in range(20):
+            x, y = turn(col + 0.5, row + 0.5)
+            x, y = (x - 500000) / 20, (5700200 - y) / 20
+            for cy in range(20):
+                for cx in range(20):
+                    w = max(0.0, min(x + 0.35, cx + 1) - max(x - 0.35, cx)) * max(0.0, min(y + 0.35, cy + 1) - max(y - 0.35, cy))
+                    if w > 1e-12:
+                        s = sums.setdefault((cy, cx), [0.0, 0.0, 0.0])
+                        s[2] += w
+                        if col not in (1, 2):
+                            s[0], s[1] = s[0] + w * row, s[1] + w
+    assert set(found) == set(sums)
+    for cell, (v, w, every) in sums.items():
+        assert found[cell].fraction == pytest.approx(w / every, abs=1e-4)
+        assert (found[cell].value is None) == (w == 0) and (not w or found[cell].value == pytest.approx(v / w, abs=1e-3))
+    with pytest.raises(ValueError, match="rotated"):
+        warp.warped(rows, fits, ["scene"], ["item"], (20.0, 1.0, 0.0, 0.0, -20.0, 0.0), 2, 2)
+    with pytest.raises(Exception, match="place a raster"):
+        warp.fitted(points.limit(2), ["scene"], 32631).collect()
+    assert warp.warped(rows.limit(0), fits, ["scene"], ["item"], terms, 20, 20).count() == 0
+
+
+def test_reports_hold_whole_records(spark, tmp_path):
+    records = items.inspection_records(adapters.items(spark, "/root/testdata/sf0.001"), adapters.coverages(spark, "/root/testdata/sf0.001")).withColumn("item_id", F.col("item_id").cast("string"))
+    whole = records.agg(F.to_json(F.struct(F.lit("30UXC").alias("tile"), F.collect_list(F.struct(*records.columns)).alias("items"))).alias("j")).first().j
+    (tmp_path / "r.json").write_text(whole)
+    read = reports.report_items(spark, str(tmp_path / "r.json"))
+    assert read.columns == ["tile", *records.columns]
+    key = lambda r: r.item_id
+    assert [r.asDict(True) for r in sorted(read.drop("tile").collect(), key=key)] == [r.asDict(True) for r in sorted(records.collect(), key=key)]
+
+
+def test_console_lines():
+    report = {"raster": {"size": [128, 64], "mean": 0.123456789, "crs": None, "tags": {}}, "points": [{"n": 1}, {"n": 2}], "ok": True}
+    assert reports.console(report) == ["raster.size: 128, 64", "raster.mean: 0.123457", "raster.crs: none", "raster.tags: none", "points[0].n: 1", "points[1].n: 2", "ok: True"]
